@@ -30,33 +30,22 @@ RANGE_ROWS = 20_000
 _PIECE = rf"[\p{{L}}\p{{N}}\p{{M}}]{{1,{TOKEN}}}|[^\s\p{{L}}\p{{N}}\p{{M}}]"
 
 
-def selected(text: Column, k: int = K, w: int = W) -> Column:
-    """The text's fingerprint: array of (pos, hash), each chosen k-gram once, by position (counted in tokens)."""
-    low = (1 << POSITION_BITS) - 1
-    tokens = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_PIECE), F.lit(0)), lambda t: F.xxhash64(t))
-
-    def grams(t: Column) -> Column:
-        last = F.greatest(F.size(t) - k, F.lit(0))
-        made = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(t, i + 1, k)))
-        return F.when(F.size(t) > 0, made).otherwise(F.array().cast("array<bigint>"))
-
-    def packed(g: Column) -> Column:
-        return F.transform(g, lambda h, i: h.bitwiseAND(F.lit(~low)).bitwiseOR(F.lit(low) - i))
-
-    def chosen(p: Column) -> Column:
-        last = F.greatest(F.size(p) - w, F.lit(0))
-        mins = F.transform(F.sequence(F.lit(0), last), lambda i: F.array_min(F.slice(p, i + 1, w)))
-        return F.when(F.size(p) > 0, F.array_distinct(mins)).otherwise(F.array().cast("array<bigint>"))
-
-    def unpack(c: Column) -> Column:
-        return F.transform(c, lambda x: F.struct((F.lit(low) - x.bitwiseAND(F.lit(low))).alias("pos"), F.shiftrightunsigned(x, POSITION_BITS).alias("hash")))
+def with_selected(df: DataFrame, text_col: str, name: str, k: int = K, w: int = W) -> DataFrame:
+    """``df`` with the text's fingerprint: array of (pos, hash), each chosen k-gram once, by position (counted in tokens).
 
-    return _let(tokens, lambda t: _let(grams(t), lambda g: unpack(chosen(packed(g)))))
-
-
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` evaluated once, also inside a larger expression."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    Each step is a column of its own that the next uses twice, so that it is
+    evaluated once a row and not again for each position.
+    """
+    low = (1 << POSITION_BITS) - 1
+    none = F.array().cast("array<bigint>")
+    tokens = F.transform(F.regexp_extract_all(F.coalesce(text_col, F.lit("")), F.lit(_PIECE), F.lit(0)), lambda t: F.xxhash64(t))
+    out = df.withColumn("_t", tokens)
+    hashed = F.transform(F.sequence(F.lit(0), F.greatest(F.size("_t") - k, F.lit(0))), lambda i: F.xxhash64(F.slice("_t", i + 1, k)).bitwiseAND(F.lit(~low)).bitwiseOR(F.lit(low) - i))
+    out = out.withColumn("_p", F.when(F.size("_t") > 0, hashed).otherwise(none))
+    least = F.transform(F.sequence(F.lit(0), F.greatest(F.size("_p") - w, F.lit(0))), lambda i: F.array_min(F.slice("_p", i + 1, w)))
+    chosen = F.when(F.size("_p") > 0, F.array_distinct(least)).otherwise(none)
+    unpacked = F.transform(chosen, lambda x: F.struct((F.lit(low) - x.bitwiseAND(F.lit(low))).alias("pos"), F.shiftrightunsigned(x, POSITION_BITS).alias("hash")))
+    return out.withColumn(name, unpacked).drop("_t", "_p")
 
 
 def hashes(chosen: Column) -> Column:
@@ -112,18 +101,18 @@ def report(documents: DataFrame) -> DataFrame:
     """The columns that query op10 returns: each document against its edited text and against the next document."""
     text = F.coalesce("text", F.lit(""))
     rows = documents.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_hash"))
-    rows = rows.withColumn("chosen", selected(F.col("text"))).select("doc_id", "text", "text_hash", fingerprint_text(F.col("chosen")).alias("fingerprint"), hashes(F.col("chosen")).alias("own"))
+    rows = with_selected(rows, "text", "chosen").select("doc_id", "text", "text_hash", fingerprint_text(F.col("chosen")).alias("fingerprint"), hashes(F.col("chosen")).alias("own"))
     paired = with_next(rows, "doc_id", "text", "text_hash", ["text", "own"])
     n = F.char_length("text")
     m = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - m), F.substring("next.text", F.lit(1), m))
-    changed = paired.withColumn("edited", edited).withColumn("chosen", selected(F.col("edited")))
+    changed = with_selected(paired.withColumn("edited", edited), "edited", "chosen").withColumn("other", hashes(F.col("chosen")))
     return changed.select(
         "doc_id",
         n.cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         "fingerprint",
         fingerprint_text(F.col("chosen")).alias("edited_fingerprint"),
-        likeness(F.col("own"), hashes(F.col("chosen"))).alias("near_edited"),
+        likeness(F.col("own"), F.col("other")).alias("near_edited"),
         likeness(F.col("own"), F.col("next.own")).alias("near_next"),
     )
