@@ -1,8 +1,7 @@
 """Document fingerprints by winnowing.
 
-Native: DataFrame functions only. A text becomes tokens (runs of letters and
-digits, cut every ``TOKEN`` characters so that unspaced text has tokens too; any
-other visible character is a token of its own); a k-gram is ``K`` tokens in a
+Native: DataFrame functions only. A text becomes tokens (runs without white
+space, cut every ``TOKEN`` characters so that unspaced text has tokens too); a k-gram is ``K`` tokens in a
 row and its hash 64 bits. Of each window of ``W`` consecutive k-grams the
 smallest hash is chosen, the rightmost of equal ones, and kept with its
 position. So any run of ``W + K - 1`` tokens that two texts share gives both at
@@ -27,25 +26,34 @@ K, W, TOKEN = 3, 8, 12
 POSITION_BITS = 26
 #: Rows per range of ids; a range is what one task sorts to find each row's successor.
 RANGE_ROWS = 20_000
-_PIECE = rf"[\p{{L}}\p{{N}}\p{{M}}]{{1,{TOKEN}}}|[^\s\p{{L}}\p{{N}}\p{{M}}]"
+_PIECE = rf"\S{{1,{TOKEN}}}"
 
 
 def with_selected(df: DataFrame, text_col: str, name: str, k: int = K, w: int = W) -> DataFrame:
     """``df`` with the text's fingerprint: array of (pos, hash), each chosen k-gram once, by position (counted in tokens).
 
-    Each step is a column of its own that the next uses twice, so that it is
-    evaluated once a row and not again for each position.
+    Each step is a column of its own, evaluated once a row. A step combines an
+    array with itself moved by some places; window minima double their width a step.
     """
     low = (1 << POSITION_BITS) - 1
     none = F.array().cast("array<bigint>")
-    tokens = F.transform(F.regexp_extract_all(F.coalesce(text_col, F.lit("")), F.lit(_PIECE), F.lit(0)), lambda t: F.xxhash64(t))
-    out = df.withColumn("_t", tokens)
-    hashed = F.transform(F.sequence(F.lit(0), F.greatest(F.size("_t") - k, F.lit(0))), lambda i: F.xxhash64(F.slice("_t", i + 1, k)).bitwiseAND(F.lit(~low)).bitwiseOR(F.lit(low) - i))
-    out = out.withColumn("_p", F.when(F.size("_t") > 0, hashed).otherwise(none))
-    least = F.transform(F.sequence(F.lit(0), F.greatest(F.size("_p") - w, F.lit(0))), lambda i: F.array_min(F.slice("_p", i + 1, w)))
-    chosen = F.when(F.size("_p") > 0, F.array_distinct(least)).otherwise(none)
+
+    def moved(name: str, by: int) -> Column:
+        return F.slice(name, by + 1, F.greatest(F.size(name), F.lit(1)))
+
+    out = df.withColumn("_t", F.regexp_extract_all(F.coalesce(text_col, F.lit("")), F.lit(_PIECE), F.lit(0)))
+    gram = lambda x, i: F.xxhash64(x, *[F.get("_t", i + j) for j in range(1, k)])  # noqa: E731  past the end are nulls, which it skips
+    packed = F.transform("_t", lambda x, i: gram(x, i).bitwiseAND(F.lit(~low)).bitwiseOR(F.lit(low) - i))
+    out = out.withColumn("_g", packed)
+    out = out.withColumn("_m", F.slice("_g", 1, F.greatest(F.size("_g") - (k - 1), F.lit(1))))
+    out, width = out.withColumn("_n", F.size("_m")), 1
+    while width < w:
+        step = min(width, w - width)
+        out = out.withColumn("_m", F.zip_with("_m", moved("_m", step), lambda a, b: F.least(a, b)))
+        width += step
+    chosen = F.when(F.col("_n") > 0, F.array_distinct(F.slice("_m", 1, F.greatest(F.col("_n") - (w - 1), F.lit(1))))).otherwise(none)
     unpacked = F.transform(chosen, lambda x: F.struct((F.lit(low) - x.bitwiseAND(F.lit(low))).alias("pos"), F.shiftrightunsigned(x, POSITION_BITS).alias("hash")))
-    return out.withColumn(name, unpacked).drop("_t", "_p")
+    return out.withColumn(name, unpacked).drop("_t", "_g", "_m", "_n")
 
 
 def hashes(chosen: Column) -> Column:
