@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,3 +49,8 @@ def remove(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def worker_cache() -> dict:
+    """What a Python worker keeps from task to task, such as a loaded vocabulary."""
+    return sys.modules.setdefault("_threadloom_worker", types.ModuleType("_threadloom_worker")).__dict__

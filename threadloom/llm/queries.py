@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadloom.llm import decontaminate, sharding, simhash, winnow
+from threadloom.llm import bpe, decontaminate, langid, sharding, simhash, winnow
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.report(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
@@ -25,9 +30,13 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(_read(spark, sf_dir, "documents"))
 
 
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.report(_read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.report(_read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_decontaminate, op5_sharding, op8_simhash, op10_winnow)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_bpe, op4_decontaminate, op5_sharding, op8_simhash, op9_langid, op10_winnow)}
 ORACLES: dict[str, str] = {}
