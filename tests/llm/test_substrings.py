@@ -61,8 +61,8 @@ def test_crowded_anchors(spark):
     for r in spans.collect():
         by.setdefault((r["k1"], r["k2"]), []).append((r["lo"], r["hi"]))
     for r in keyed.collect():
-        gone = s.removed_ranges(10**9, by.get((r["k1"], r["k2"]), []))
-        assert sum(b - a for a, b in gone) == brute(texts)[r["doc_id"]][1] or r["doc_id"] is None
+        gone = s.removed_ranges(10**9, by.get((r["__k1"], r["__k2"]), []))
+        assert sum(b - a for a, b in gone) == brute(texts)[r["doc_id"]][1]
 
 
 def test_repeated_rows_nulls_and_empty_tables(spark):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadloom.llm import bpe, decontaminate, langid, sharding, simhash, winnow
+from threadloom.llm import bpe, decontaminate, langid, sharding, simhash, substrings, winnow
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.report(_read(spark, sf_dir, "documents"))
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.report(_read(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(_read(spark, sf_dir, "documents"))
 
@@ -38,5 +42,5 @@ def op10_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.report(_read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_bpe, op4_decontaminate, op5_sharding, op8_simhash, op9_langid, op10_winnow)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_bpe, op4_decontaminate, op5_sharding, op6_substrings, op8_simhash, op9_langid, op10_winnow)}
 ORACLES: dict[str, str] = {}

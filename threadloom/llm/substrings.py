@@ -282,9 +282,9 @@ def _hot_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """(documents with keys k1 and k2 and their text, intervals of starts of repeated strings by key). Materialises the classified runs and the contexts."""
-    docs = documents.withColumn("k1", F.xxhash64(id_col)).withColumn("k2", F.xxhash64(text_col))
-    texts = docs.select("k1", "k2", F.col(text_col).alias("text")).filter(F.octet_length("text") >= LENGTH)
+    """(documents with keys __k1 and __k2, intervals of starts of repeated strings by key). Materialises the classified runs and the contexts."""
+    docs = documents.withColumn("__k1", F.xxhash64(id_col)).withColumn("__k2", F.xxhash64(text_col))
+    texts = docs.select(F.col("__k1").alias("k1"), F.col("__k2").alias("k2"), F.col(text_col).alias("text")).filter(F.octet_length("text") >= LENGTH)
     runs = texts.mapInArrow(_emit_runs, _RUN).repartition("part").sortWithinPartitions(F.col("n") > 0, "h", "ctx")
     kinds, _ = materialise(runs.mapInArrow(_classify, "kind int, h long, k1 long, k2 long, run long"), "runs")
     lo = F.shiftright("run", 18)
@@ -317,8 +317,8 @@ def removed_ranges(length: int, spans: list[tuple[int, int]]) -> list[tuple[int,
 
 def _joined(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
     docs, spans = repeats(documents, id_col, text_col)
-    by_text = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    return docs.join(by_text, ["k1", "k2"], "left")
+    by_text = spans.groupBy(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).agg(F.collect_list(F.struct("lo", "hi")).alias("__spans"))
+    return docs.join(by_text, ["__k1", "__k2"], "left")
 
 
 def _cut(text: str | None, spans: list | None) -> tuple[bytes, list[bytes], list[tuple[int, int]]]:
@@ -334,10 +334,10 @@ def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _slices_of(batches, text_col):
-            texts = [None if t.as_py() is None else b"".join(_cut(t.as_py(), s.as_py())[1]).decode("utf-8", "ignore") for t, s in zip(b.column(text_col), b.column("spans"))]
+            texts = [None if t.as_py() is None else b"".join(_cut(t.as_py(), s.as_py())[1]).decode("utf-8", "ignore") for t, s in zip(b.column(text_col), b.column("__spans"))]
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == text_col else b.column(n) for n in names], names=names)
 
-    return _joined(documents, id_col, text_col).select(*names, "spans").mapInArrow(run, schema)
+    return _joined(documents, id_col, text_col).select(*names, "__spans").mapInArrow(run, schema)
 
 
 def _slices_of(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
@@ -355,7 +355,7 @@ def report(documents: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _slices_of(batches, "text"):
             out = []
-            for t, s in zip(b.column("text"), b.column("spans")):
+            for t, s in zip(b.column("text"), b.column("__spans")):
                 data, kept, gone = _cut(t.as_py(), s.as_py())
                 digest = hashlib.sha256()
                 for x in kept:
@@ -364,4 +364,4 @@ def report(documents: DataFrame) -> DataFrame:
             n, removed, spans, sha = zip(*out)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(x, pa.int64()) for x in (n, removed, spans)], pa.array(sha, pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return _joined(docs, "doc_id", "text").select("doc_id", "text", "spans").mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return _joined(docs, "doc_id", "text").select("doc_id", "text", "__spans").mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
