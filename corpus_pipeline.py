@@ -2,25 +2,46 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from threadloom.llm import decontaminate, simhash
+from threadloom.llm import bpe, decontaminate, langid, simhash, substrings
 from threadloom.llm.common import materialise
 
 
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language go: null texts, texts without a letter, and those whose best language scores under one half."""
+    return langid.keep_known(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies stays."""
     return simhash.deduplicate(docs)
 
 
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes in repeated 400-byte strings are cut out of the texts, and n_chars counts what is left; every document stays."""
+    return substrings.deduplicate(docs).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with windows of two or more benchmark items go."""
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each text as ``ids``, and their number as ``n_tokens``, beside the documents' columns."""
+    coded = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return coded.withColumn("n_tokens", F.size("ids"))
+
+
 STAGES = [
+    ("language", language_stage),
     ("near_duplicates", simhash_stage),
+    ("repeated_substrings", substring_stage),
     ("decontamination", decontamination_stage),
+    ("encoding", encoding_stage),
 ]
 
 ORACLE_SQL = None
