@@ -7,13 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadloom.llm import bpe, decontaminate, langid, sharding, simhash, substrings, winnow
+from threadloom.llm import bpe, chat, counts, decontaminate, langid, sharding, simhash, substrings, warc, winnow
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.report(_read(spark, sf_dir, "conversations"))
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.report(_read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.report(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -30,6 +38,10 @@ def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.report(_read(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(spark, _read(spark, sf_dir, "pages"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(_read(spark, sf_dir, "documents"))
 
@@ -42,5 +54,6 @@ def op10_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.report(_read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_bpe, op4_decontaminate, op5_sharding, op6_substrings, op8_simhash, op9_langid, op10_winnow)}
+_ALL = (op1_chat, op2_token_counts, op3_bpe, op4_decontaminate, op5_sharding, op6_substrings, op7_warc, op8_simhash, op9_langid, op10_winnow)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 ORACLES: dict[str, str] = {}
