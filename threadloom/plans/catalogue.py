@@ -1,10 +1,6 @@
-"""Named queries over the driver tables, each with its DuckDB twin."""
+"""All named queries over the driver tables, each with its DuckDB twin where SQL can express it."""
 
-from __future__ import annotations
+from threadloom.plans import models, profiles, reads, texts, topics
+from threadloom.plans.registry import ORACLES, QUERIES
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES", "models", "profiles", "reads", "texts", "topics"]
