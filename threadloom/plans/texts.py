@@ -22,7 +22,7 @@ def fold(x: str) -> str:
 
 
 def entities(x: str) -> str:
-    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
+    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&")):
         x = f"replace({x}, '{name}', '{char}')"
     return x
 
@@ -37,7 +37,9 @@ p AS (SELECT *, {squeeze(rf"regexp_replace({fold('clean_text')}, '[^\p{{L}}\p{{N
 
 
 def run_of_six(x: str) -> str:
-    return f"len(list_filter(range(1, length({x}) - 4), lambda i: substr({x}, i, 6) = repeat(substr({x}, i, 1), 6))) > 0"
+    """RE2 has no back-references: a run of each character of ASCII and Latin-1, which is what the driver tables hold."""
+    each = "|".join(rf"\x{{{c:02X}}}{{6}}" for c in [*range(9, 14), *range(32, 127), *range(0xA0, 0x100)])
+    return f"regexp_matches({x}, '{each}')"
 
 
 #: The words of thanks are Cyrillic, of which the driver tables have none.

@@ -229,8 +229,8 @@ def p11_public_assignments(spark, d):
     return E.public_assignments(_final(spark, d), F.col("vec_id").cast("string"), F.col("final_label"), F.col("confidence"), F.col("reassigned"))
 
 
-@query(f"""WITH {DECIDED}, r AS (SELECT *, row_number() OVER (PARTITION BY final_label ORDER BY vec_id) AS n FROM fl WHERE final_label >= 0 AND final_label < 20), q AS (SELECT *, min(n) FILTER (WHERE re) OVER (PARTITION BY final_label) AS p FROM r),
-k AS (SELECT *, row_number() OVER (PARTITION BY final_label ORDER BY CASE WHEN n = p THEN least(n, 5) ELSE n END, n) AS f FROM q WHERE NOT coalesce(p > 1 AND n = least(p - 1, 5), false)),
+@query(f"""WITH {DECIDED}, r AS (SELECT *, row_number() OVER (PARTITION BY final_label ORDER BY vec_id) AS n FROM fl WHERE final_label >= 0 AND final_label < 20), q AS (SELECT *, min(n) FILTER (WHERE re) OVER (PARTITION BY final_label) AS fr FROM r),
+k AS (SELECT *, row_number() OVER (PARTITION BY final_label ORDER BY CASE WHEN n = fr THEN least(n, 5) ELSE n END, n) AS f FROM q WHERE NOT coalesce(fr > 1 AND n = least(fr - 1, 5), false)),
 o AS (SELECT vec_id, final_label FROM fl WHERE final_label = -1 ORDER BY vec_id LIMIT 20) SELECT vec_id, final_label FROM k WHERE f <= 5 UNION ALL SELECT * FROM o""")
 def w13_review_sample(spark, d):
     return E.review_sample(_final(spark, d).select("vec_id", "final_label", "reassigned"), "final_label", "vec_id", F.col("reassigned")).select("vec_id", "final_label")
