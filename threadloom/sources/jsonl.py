@@ -80,7 +80,7 @@ def detect_format(head: bytes, name: str = "") -> str:
     if head[:2] == b"\x1f\x8b":
         return "gzip"
     text = None
-    for cut in range(4):  # the cut may split a character
+    for cut in range(4 if len(head) == HEAD else 1):  # the cut may split a character
         try:
             text = head[: len(head) - cut].decode("utf-8-sig")
             break
