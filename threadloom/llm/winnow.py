@@ -57,25 +57,26 @@ def with_selected(df: DataFrame, text_col: str, name: str, k: int = K, w: int =
 
 
 def hashes(chosen: Column) -> Column:
-    """The distinct hashes of a fingerprint, sorted."""
-    return F.array_sort(F.array_distinct(F.transform(chosen, lambda x: x["hash"])))
+    """The hashes of a fingerprint, by position."""
+    return F.transform(chosen, lambda x: x["hash"])
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Jaccard index of two arrays of distinct hashes; 1.0 if both are empty."""
+    """Jaccard index of the sets of two arrays of hashes; 1.0 if both are empty."""
     both = F.size(F.array_intersect(a, b))
-    either = F.size(a) + F.size(b) - both
+    either = F.size(F.array_union(a, b))
     return F.when(either == 0, F.lit(1.0)).otherwise(both / either)
 
 
-def with_next(rows: DataFrame, id_col: str, text_col: str, hash_col: str, carry: list[str], range_rows: int = RANGE_ROWS) -> DataFrame:
+def with_next(rows: DataFrame, id_col: str, hash_col: str, carry: list[str], prepare=lambda df: df, range_rows: int = RANGE_ROWS) -> DataFrame:
     """``rows`` with ``next``: the columns ``carry`` of the row after in ascending id; after the last comes the first.
 
     Ids are cut into ranges at approximate quantiles and the rows move once, to
     the task that sorts their range. Each range also gets a copy of the first
     row of the range that follows it, so its own last row finds a successor
     there. Null ids come first, spread over ranges by text hash; equal ids are
-    ordered by text hash. Runs one action over the ids; at most 10,000 ranges.
+    ordered by text hash. ``prepare`` adds columns to rows once they are chosen,
+    before they move. Runs one action over the ids; at most 10,000 ranges.
     """
     n = rows.select(id_col).count()
     parts = max(1, min(10_000, -(-n // range_rows)))
@@ -96,21 +97,24 @@ def with_next(rows: DataFrame, id_col: str, text_col: str, hash_col: str, carry:
     order = order.select("_range", F.coalesce("_before", "_last").alias("_to"))
     copies = heads.select(*rows.columns, "_range").join(F.broadcast(order), "_range").select(*rows.columns, F.col("_to").alias("_range"), F.lit(True).alias("_copy"))
     by = Window.partitionBy("_range").orderBy("_copy", F.col(id_col).asc_nulls_first(), hash_col)
-    both = ranged.withColumn("_copy", F.lit(False)).unionByName(copies)
+    both = prepare(ranged.withColumn("_copy", F.lit(False))).unionByName(prepare(copies))
     return both.withColumn("next", F.lead(F.struct(*carry)).over(by)).filter(~F.col("_copy")).drop("_copy", "_range")
 
 
-def fingerprint_text(chosen: Column) -> Column:
-    """A fingerprint as text: the chosen hashes in order, ten hexadecimal digits each."""
-    return F.array_join(F.transform(chosen, lambda x: F.lower(F.lpad(F.hex(x["hash"]), 10, "0"))), "")
+def fingerprint_text(found: Column) -> Column:
+    """A fingerprint as text: its hashes by position, ten hexadecimal digits each."""
+    return F.lower(F.array_join(F.transform(found, lambda x: F.lpad(F.hex(x), 10, "0")), ""))
 
 
 def report(documents: DataFrame) -> DataFrame:
     """The columns that query op10 returns: each document against its edited text and against the next document."""
     text = F.coalesce("text", F.lit(""))
     rows = documents.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_hash"))
-    rows = with_selected(rows, "text", "chosen").select("doc_id", "text", "text_hash", fingerprint_text(F.col("chosen")).alias("fingerprint"), hashes(F.col("chosen")).alias("own"))
-    paired = with_next(rows, "doc_id", "text", "text_hash", ["text", "own"])
+
+    def fingerprinted(df: DataFrame) -> DataFrame:
+        return with_selected(df, "text", "chosen").withColumn("own", hashes(F.col("chosen"))).drop("chosen")
+
+    paired = with_next(rows, "doc_id", "text_hash", ["text", "own"], fingerprinted)
     n = F.char_length("text")
     m = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - m), F.substring("next.text", F.lit(1), m))
@@ -119,8 +123,8 @@ def report(documents: DataFrame) -> DataFrame:
         "doc_id",
         n.cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        "fingerprint",
-        fingerprint_text(F.col("chosen")).alias("edited_fingerprint"),
+        fingerprint_text(F.col("own")).alias("fingerprint"),
+        fingerprint_text(F.col("other")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("other")).alias("near_edited"),
         likeness(F.col("own"), F.col("next.own")).alias("near_next"),
     )
