@@ -203,6 +203,10 @@ def test_ingestion(spark, tmp_path):
 
     assert batch([(1, 1, "a"), (1, 2, "b"), (2, 3, "noise")]) == [(1, "b")]
     assert batch([(1, 9, "later"), (3, 9, "c")]) == [(1, "b"), (3, "c")]
+    again = ingest.append_new(str(tmp_path / "out"), "k", "n")
+    for _ in range(2):  # a batch that runs again replaces itself
+        again(spark.createDataFrame([(7, 1, "x"), (1, 1, "y")], "k long, n long, v string"), 2)
+        assert sorted((r["k"], r["v"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [(1, "b"), (3, "c"), (7, "x")]
     status = {}
     ingest.attempt(status, "s", lambda: 1 // 0)
     ingest.attempt(status, "t", lambda: 4)

@@ -8,6 +8,7 @@ from threadloom.operators import reassignment as A
 from threadloom.operators import topics as O
 from threadloom.operators import vectors as V
 from threadloom.plans.registry import query
+from threadloom.sources.shared import materialise
 from threadloom.sources.tables import table
 
 #: The synthetic vectors lie far apart; with the usual 0.95 nothing would be near.
@@ -22,16 +23,17 @@ def embeddings(spark, d):
 
 def clustered(spark, d):
     """The vectors with a probability; the tenth of the lowest become outliers."""
-    rows = O.with_probability(embeddings(spark, d), "label", "embedding")
+    rows, _ = materialise(O.with_probability(embeddings(spark, d), "label", "embedding"), "probabilities")
     n = rows.count() // SHARE
     low = rows.orderBy(F.round("probability", 9), "vec_id").limit(n).select(F.col("vec_id").alias("_v"))
-    return rows.join(low, F.col("vec_id") == F.col("_v"), "left").withColumn("label", F.when(F.col("_v").isNotNull(), F.lit(-1)).otherwise(F.col("label")).cast("long")).drop("_v"), n
+    marked = rows.join(low, F.col("vec_id") == F.col("_v"), "left").withColumn("label", F.when(F.col("_v").isNotNull(), F.lit(-1)).otherwise(F.col("label")).cast("long")).drop("_v")
+    return materialise(marked, "clustered")[0], n
 
 
 def decided(spark, d):
     rows, n = clustered(spark, d)
-    topics = A.eligibility(rows, "label", "probability", "embedding", RULES)
-    found = A.scored(rows.filter("label = -1"), "vec_id", "embedding", topics, "label", RULES)
+    topics, _ = materialise(A.eligibility(rows, "label", "probability", "embedding", RULES), "topics")
+    found, _ = materialise(A.scored(rows.filter("label = -1"), "vec_id", "embedding", topics, "label", RULES), "decisions")
     return rows, A.limited(found, "vec_id", topics, "label", n, RULES)
 
 

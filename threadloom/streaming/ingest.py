@@ -6,17 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 from threadloom.operators.relational import new_rows
 
 
 def stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    """The table at ``path``, empty before the first batch."""
+    """The table at ``path`` with the number of each row's batch; empty before the first batch."""
+    schema = StructType([*like.schema.fields, StructField("batch", IntegerType())])
     try:
-        return spark.read.schema(like.schema).parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException:
-        return spark.createDataFrame([], like.schema)
+        return spark.createDataFrame([], schema)
 
 
 def append_new(path: str, key: str, sequence: str, gate: Callable[[DataFrame], DataFrame] = lambda df: df) -> Callable[[DataFrame, int], None]:
@@ -27,7 +29,7 @@ def append_new(path: str, key: str, sequence: str, gate: Callable[[DataFrame], D
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        before = stored(spark, path, batch).filter(F.input_file_name().rlike(f"/batch-{number}/") == F.lit(False)) if number else spark.createDataFrame([], batch.schema)
+        before = stored(spark, path, batch).filter(F.col("batch") != number)
         new_rows(gate(batch), key, before, key, sequence).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return write
