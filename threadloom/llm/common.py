@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import types
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from threadloom.sources.shared import materialise, remove, shared_dir
+
+__all__ = ["lower_ascii", "materialise", "new_path", "remove", "shared_dir", "worker_cache"]
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -18,39 +21,11 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, _UPPER, _LOWER)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A folder that all executors share: ``spark.checkpoint.dir`` where the cluster names it.
-
-    Only where neither that setting nor a checkpoint folder exists (tests in
-    local mode) a temporary folder is made and set.
-    """
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not named:
-        named = f"file://{tempfile.mkdtemp(prefix='threadloom-')}"
-        context.setCheckpointDir(named)
-    return named.rstrip("/")
-
-
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
     return f"{shared_dir(spark)}/threadloom/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """Write ``df`` as Parquet to the shared folder and read it again; cuts lineage and survives lost executors."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a table that ``materialise`` wrote and nothing reads any more."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def worker_cache() -> dict:
     """What a Python worker keeps from task to task, such as a loaded vocabulary."""
     return sys.modules.setdefault("_threadloom_worker", types.ModuleType("_threadloom_worker")).__dict__
