@@ -269,4 +269,4 @@ def report(spark: SparkSession, pages: DataFrame) -> DataFrame:
     kind = pages.schema["page_id"].dataType
     back = read_archives(write_archives(pages, folder), folder)
     key = lambda c: F.when(F.col(c) != "null", F.col(c)).cast(kind)
-    return back.select(key("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", key("refers_to").alias("refers_to"), "url")
+    return back.select(key("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", key("refers_to").alias("refers_to"))
