@@ -27,8 +27,12 @@ def test_forward_sums_all_segmentations():
     rng = np.random.default_rng(1)
     vocabulary = {w: i for i, w in enumerate(["a", "b", "ab", "ba", "aba", "bab", "abab"])}
     p = rng.random((7, 3)) / 7
-    for word in ["a", "b", "abab", "abaxba", "bbbb", "x", "ababababab"]:
-        assert np.allclose(np.exp(langid.forward(word, vocabulary, 4, p)), brute(word, vocabulary, p))
+    words = ["a", "b", "abab", "abaxba", "bbbb", "x", "ababababab", "ab" * 17]
+    together = langid.forward_all(words, vocabulary, 4, langid.automaton_of(vocabulary), p)
+    for word, found in zip(words, together):
+        assert np.allclose(found, langid.forward(word, vocabulary, 4, p))
+        if len(word) < 20:
+            assert np.allclose(np.exp(found), brute(word, vocabulary, p))
     long = langid.forward("ab" * 20_000, vocabulary, 4, p)
     assert np.isfinite(long).all() and (long < -1000).all()
 
@@ -37,9 +41,8 @@ def test_expected_uses_match_brute_force():
     rng = np.random.default_rng(2)
     vocabulary = {w: i for i, w in enumerate(["a", "b", "ab", "ba"])}
     p = rng.random((4, 2)) / 4
-    found = np.zeros((4, 2))
-    for n, use in langid.expected("abba", vocabulary, 2, p):
-        found[n] += use
+    weights = np.array([[3.0, 1.0], [0.0, 0.0]])
+    found = langid.expected(["abba", "bxb"], weights, vocabulary, langid.automaton_of(vocabulary), p)
 
     def cuts(word):
         if not word:
@@ -54,7 +57,7 @@ def test_expected_uses_match_brute_force():
     expected = np.zeros((4, 2))
     for c, x in each:
         for n in c:
-            expected[n] += x / whole
+            expected[n] += x / whole * weights[0]
     assert np.allclose(found, expected)
 
 

@@ -9,7 +9,9 @@ backward pass over each distinct word, become the next probabilities.
 Words are what white space separates in the lower-cased text, each led by the vocabulary's word mark; no
 piece crosses a word, so a text's likelihood is the product over its words, and
 a worker scores a distinct word once (in a table of bounded size). A character
-that is no piece has one small probability under every language.
+that is no piece has one small probability under every language. Many words go
+through the passes together: an Aho-Corasick automaton lists the pieces in all
+of them, and each step adds up, in numpy, the pieces that end (or begin) at one place of any word.
 
 Fitting reads at most about ``SAMPLE_ROWS`` labelled rows (expected number, the
 same share for each language, chosen by a hash of the id); scoring reads every
@@ -24,7 +26,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -39,7 +43,11 @@ ROUNDS = 2
 SMOOTHING = 0.05
 #: Probability of a character that is no piece.
 UNKNOWN = 1e-7
-TABLE = 150_000
+TABLE = 300_000
+#: Longer words are rescaled on their way and take the passes one at a time.
+LONG = 32
+#: Bytes of text that are scored together.
+SLICE = 4_000_000
 MARK = "▁"
 UNDETERMINED = "und"
 
@@ -63,34 +71,81 @@ def pieces(path: str) -> dict[str, int]:
     return {name: i for i, name in enumerate(names)}
 
 
-def _pieces(path: str) -> tuple[dict[str, int], int]:
+def _pieces(path: str) -> tuple[dict[str, int], int, ahocorasick.Automaton]:
     cache = worker_cache()
     if ("pieces", path) not in cache:
         found = pieces(path)
-        cache["pieces", path] = found, max(map(len, found))
+        cache["pieces", path] = found, max(map(len, found)), automaton_of(found)
     return cache["pieces", path]
 
 
-def matches(word: str, vocabulary: dict[str, int], longest: int) -> list[list[tuple[int, int]]]:
-    """For each end in 1..len(word) the (start, piece) that end there; an unknown character is piece -1."""
-    out = []
-    for j in range(1, len(word) + 1):
-        here = [(i, n) for i in range(max(0, j - longest), j) if (n := vocabulary.get(word[i:j])) is not None]
-        if not here or here[-1][0] != j - 1:
-            here.append((j - 1, -1))
-        out.append(here)
-    return out
+class Lattice:
+    """The pieces in some words of at most LONG characters, as edges between places of one row of places."""
+
+    def __init__(self, words: list[str], vocabulary: dict[str, int], automaton: ahocorasick.Automaton):
+        text = "\n".join(words)
+        found = np.fromiter(chain.from_iterable(automaton.iter(text)), np.int64).reshape(-1, 2)
+        stop, piece, size = found[:, 0] + 1, found[:, 1] >> 5, found[:, 1] & 31
+        single = np.zeros(len(text) + 1, bool)
+        single[stop[size == 1]] = True
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        self.last = np.cumsum(sizes + 1) - 1
+        self.first = self.last - sizes
+        word = np.repeat(np.arange(len(words)), sizes + 1)[: len(text) + 1]
+        lone = np.flatnonzero(~single)
+        lone = lone[lone > self.first[word[lone]]]  # where an unknown character ends
+        stop = np.concatenate([stop, lone])
+        start = np.concatenate([stop[: len(size)] - size, lone - 1])
+        piece = np.concatenate([piece, np.full(len(lone), -1)])
+        self.word, self.start, self.stop, self.piece = word[stop], start, stop, piece
+        self.places = len(text) + 1
+        self.steps = int(sizes.max(initial=0))
+
+    def _pass(self, p: np.ndarray, begin: np.ndarray, source: np.ndarray, target: np.ndarray, step: np.ndarray) -> np.ndarray:
+        """Sums over paths from ``begin`` to each place; ``step`` orders the edges by the place they lead to."""
+        out = np.zeros((self.places, p.shape[1]))
+        out[begin] = 1.0
+        order = np.lexsort((target, step))
+        source, target, weight, step = source[order], target[order], p[self.piece[order]], step[order]
+        bounds = np.searchsorted(step, np.arange(1, self.steps + 2))
+        for a, b in zip(bounds, bounds[1:]):
+            if a < b:
+                t = target[a:b]
+                new = np.flatnonzero(np.append(True, t[1:] != t[:-1]))
+                out[t[new]] = np.add.reduceat(out[source[a:b]] * weight[a:b], new, axis=0)
+        return out
+
+    def before(self, p: np.ndarray) -> np.ndarray:
+        return self._pass(p, self.first, self.start, self.stop, self.stop - self.first[self.word])
+
+    def after(self, p: np.ndarray) -> np.ndarray:
+        return self._pass(p, self.last, self.stop, self.start, self.last[self.word] - self.start)
+
+
+def _extended(p: np.ndarray) -> np.ndarray:
+    """``p`` with a last row, which piece -1 means, for unknown characters."""
+    return np.concatenate([p, np.full((1, p.shape[1]), UNKNOWN)])
+
+
+def automaton_of(vocabulary: dict[str, int]) -> ahocorasick.Automaton:
+    found = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+    for piece, n in vocabulary.items():
+        if len(piece) < 32 and "\n" not in piece:
+            found.add_word(piece, n << 5 | len(piece))
+    found.make_automaton()
+    return found
 
 
 def forward(word: str, vocabulary: dict[str, int], longest: int, p: np.ndarray) -> np.ndarray:
-    """Log likelihood of the word under each language, summed over segmentations; rescaled so that no length underflows."""
+    """Log likelihood of one word under each language, summed over segmentations; rescaled so that no length underflows."""
     at, log = [np.ones(p.shape[1])], np.zeros(p.shape[1])
-    ends = matches(word, vocabulary, longest)
-    for j, here in enumerate(ends, 1):
-        total = 0.0
-        for i, n in here:
-            total = total + at[i] * (p[n] if n >= 0 else UNKNOWN)
-        at.append(total)
+    for j in range(1, len(word) + 1):
+        total, single = np.zeros(p.shape[1]), False
+        for i in range(max(0, j - longest), j):
+            if (n := vocabulary.get(word[i:j])) is not None:
+                total = total + at[i] * p[n]
+                single |= i == j - 1
+        at.append(total if single else total + at[j - 1] * UNKNOWN)
         if j % 16 == 0:
             scale = np.max(at[-longest:], axis=0)
             log += np.log(scale)
@@ -98,20 +153,27 @@ def forward(word: str, vocabulary: dict[str, int], longest: int, p: np.ndarray)
     return log + np.log(at[-1])
 
 
-def expected(word: str, vocabulary: dict[str, int], longest: int, p: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """(piece, expected uses in the word under each language), by a forward and a backward pass."""
-    ends = matches(word, vocabulary, longest)
-    one = np.ones(p.shape[1])
-    before = [one, *[0 * one for _ in word]]
-    after = [*[0 * one for _ in word], one]
-    for j, here in enumerate(ends, 1):
-        for i, n in here:
-            before[j] = before[j] + before[i] * (p[n] if n >= 0 else UNKNOWN)
-    for j in range(len(word), 0, -1):
-        for i, n in ends[j - 1]:
-            after[i] = after[i] + after[j] * (p[n] if n >= 0 else UNKNOWN)
-    whole = np.maximum(before[-1], 1e-300)
-    return [(n, before[i] * p[n] * after[j] / whole) for j, here in enumerate(ends, 1) for i, n in here if n >= 0]
+def forward_all(words: list[str], vocabulary: dict[str, int], longest: int, automaton: ahocorasick.Automaton, p: np.ndarray) -> np.ndarray:
+    """Log likelihood of each word under each language."""
+    out = np.zeros((len(words), p.shape[1]))
+    short = [i for i, w in enumerate(words) if len(w) <= LONG and "\n" not in w]
+    for at in range(0, len(short), 20_000):
+        part = short[at : at + 20_000]
+        lattice = Lattice([words[i] for i in part], vocabulary, automaton)
+        out[part] = np.log(lattice.before(_extended(p))[lattice.last])
+    for i in set(range(len(words))).difference(short):
+        out[i] = forward(words[i], vocabulary, longest, p)
+    return out
+
+
+def expected(words: list[str], weights: np.ndarray, vocabulary: dict[str, int], automaton: ahocorasick.Automaton, p: np.ndarray) -> np.ndarray:
+    """Expected uses of each piece in the words (of at most LONG characters) under each language, a word counting ``weights[word, language]`` times."""
+    lattice, q = Lattice(words, vocabulary, automaton), _extended(p)
+    before, after = lattice.before(q), lattice.after(q)
+    whole = np.maximum(before[lattice.last], 1e-300)
+    use = before[lattice.start] * q[lattice.piece] * after[lattice.stop] * (weights / whole)[lattice.word]
+    known = lattice.piece >= 0
+    return np.stack([np.bincount(lattice.piece[known], use[known, i], minlength=len(p)) for i in range(p.shape[1])], axis=1)
 
 
 def held_out(id_column: Column) -> Column:
@@ -124,7 +186,7 @@ def train(documents: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
     labelled = documents.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).filter(F.col("lang").isNotNull() & ~held_out(F.col("id")))
     counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
     languages = tuple(sorted(counts))
-    known, longest = _pieces(vocabulary)
+    known = _pieces(vocabulary)[0]
     if not languages:
         return Model(vocabulary, (), np.zeros(0), np.zeros((len(known), 0)))
     quota = sample_rows / len(languages)
@@ -132,7 +194,7 @@ def train(documents: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
     for lang in languages:
         share = F.when(F.col("lang") == lang, F.lit(quota / counts[lang])).otherwise(share)
     sample = labelled.filter(F.pmod(F.xxhash64(F.lit("sample"), "id"), F.lit(1_000_000)) < share * 1_000_000).select("lang", "text")
-    words = sample.select("lang", F.explode(F.split(F.lower("text"), r"(?U)\s+")).alias("word")).filter((F.col("word") != "") & (F.char_length("word") <= 64))
+    words = sample.select("lang", F.explode(F.split(F.lower("text"), r"(?U)\s+")).alias("word")).filter((F.col("word") != "") & (F.char_length("word") < LONG))
     words = words.groupBy("word").agg(*[F.count_if(F.col("lang") == lang).cast("double").alias(f"n{i}") for i, lang in enumerate(languages)])
     table, path = materialise(words, "words")
     spark, n_lang = documents.sparkSession, len(languages)
@@ -144,13 +206,11 @@ def train(documents: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
         shared = spark.sparkContext.broadcast(p)
 
         def step(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            vocab, longest = _pieces(vocabulary)
+            vocab, _, automaton = _pieces(vocabulary)
             q, total = shared.value, np.zeros((len(vocab), n_lang))
             for b in batches:
                 weights = np.stack([b.column(f"n{i}").to_numpy() for i in range(n_lang)], axis=1)
-                for word, w in zip(b.column("word").to_pylist(), weights):
-                    for n, use in expected(MARK + word, vocab, longest, q):
-                        total[n] += use * w
+                total += expected([MARK + w for w in b.column("word").to_pylist()], weights, vocab, automaton, q)
             piece, lang = np.nonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(piece, pa.int32()), pa.array(lang, pa.int32()), pa.array(total[piece, lang])], names=["piece", "lang", "uses"])
 
@@ -169,7 +229,7 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.vocabulary, self.longest = _pieces(model.vocabulary)
+        self.vocabulary, self.longest, self.automaton = _pieces(model.vocabulary)
         self.letter = regex.compile(r"\p{L}")
         self._clear()
 
@@ -177,22 +237,32 @@ class Scorer:
         self.number: dict[str, int] = {}
         self.rows = np.zeros((1024, len(self.model.languages)))
 
-    def score(self, text: str | None) -> tuple[str, float]:
-        """The likeliest language and its posterior probability."""
-        if not text or not self.model.languages or not self.letter.search(text):
-            return UNDETERMINED, 0.0
-        words = text.lower().split()
+    def _learn(self, words: set[str]) -> None:
+        """Scores the words that the table lacks."""
         if len(self.number) > TABLE:
             self._clear()
-        for w in set(words).difference(self.number):
-            n = self.number[w] = len(self.number)
-            if n == len(self.rows):
-                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            self.rows[n] = forward(MARK + w, self.vocabulary, self.longest, self.model.p)
-        log = self.rows[np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))].sum(axis=0) + self.model.prior
-        odds = np.exp(log - log.max())
-        best = int(np.argmax(log))
-        return self.model.languages[best], float(odds[best] / odds.sum())
+        new = sorted(words.difference(self.number))
+        need = len(self.number) + len(new)
+        if need > len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros((need, self.rows.shape[1]))])
+        self.rows[len(self.number) : need] = forward_all([MARK + w for w in new], self.vocabulary, self.longest, self.automaton, self.model.p)
+        for n, w in enumerate(new, len(self.number)):
+            self.number[w] = n
+
+    def score(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """The likeliest language of each text and its posterior probability."""
+        split = [t.lower().split() if t and self.model.languages and self.letter.search(t) else None for t in texts]
+        self._learn({w for words in split if words for w in words})
+        out = []
+        for words in split:
+            if words is None:
+                out.append((UNDETERMINED, 0.0))
+                continue
+            log = self.rows[np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))].sum(axis=0) + self.model.prior
+            odds = np.exp(log - log.max())
+            best = int(np.argmax(log))
+            out.append((self.model.languages[best], float(odds[best] / odds.sum())))
+        return out
 
 
 def identify(df: DataFrame, model: Model, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "score") -> DataFrame:
@@ -207,12 +277,11 @@ def identify(df: DataFrame, model: Model, text_col: str = "text", lang_out: str
             cache["scorer"] = key, Scorer(shared.value)
         scorer = cache["scorer"][1]
         for b in batches:
-            langs, scores = [], []
-            for t in b.column(text_col):
-                lang, score = scorer.score(t.as_py())
-                langs.append(lang)
-                scores.append(score)
-            yield pa.RecordBatch.from_arrays([*[b.column(n) for n in names], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*names, lang_out, score_out])
+            step = max(1, int(b.num_rows * SLICE / max(b.column(text_col).nbytes, 1)))
+            for i in range(0, b.num_rows, step):
+                part = b.slice(i, step)
+                langs, scores = zip(*scorer.score(part.column(text_col).to_pylist()))
+                yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*names, lang_out, score_out])
 
     return df.select(*names).mapInArrow(run, schema)
 
