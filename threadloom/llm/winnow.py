@@ -19,13 +19,15 @@ each; extra columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 K, W, TOKEN = 3, 8, 12
 POSITION_BITS = 26
 #: Rows per range of ids; a range is what one task sorts to find each row's successor.
-RANGE_ROWS = 20_000
+RANGE_ROWS = 2_000
 _PIECE = rf"\S{{1,{TOKEN}}}"
 
 
@@ -80,13 +82,17 @@ def with_next(rows: DataFrame, id_col: str, hash_col: str, carry: list[str], pre
     """
     n = rows.select(id_col).count()
     parts = max(1, min(10_000, -(-n // range_rows)))
-    cuts = F.array().cast("array<bigint>")
+    cuts: list[int] = []
     if parts > 1:
-        found = rows.agg(F.percentile_approx(id_col, [i / parts for i in range(1, parts)], 10 * parts)).first()[0]
-        cuts = F.lit(sorted(set(found))) if found else cuts
+        cuts = sorted(set(rows.agg(F.percentile_approx(id_col, [i / parts for i in range(1, parts)], 10 * parts)).first()[0] or []))
+    # two levels of a hundred cuts each, so that a row is compared with few of them
+    nested = F.from_json(F.lit(json.dumps([cuts[i : i + 100] for i in range(0, len(cuts), 100)])), "array<array<bigint>>")
+    firsts = F.from_json(F.lit(json.dumps(cuts[::100])), "array<bigint>")
+    group = F.size(F.filter(firsts, lambda c: c <= F.col(id_col)))
+    range_of = F.when(group == 0, 0).otherwise((group - 1) * 100 + F.size(F.filter(F.get(nested, group - 1), lambda c: c <= F.col(id_col))))
     spread = F.shiftrightunsigned(F.col(hash_col).bitwiseXOR(F.lit(-(1 << 63))), 32) * parts
     null_range = F.shiftright(spread, 32) - parts
-    ranged = rows.withColumn("_range", F.when(F.col(id_col).isNull(), null_range).otherwise(F.size(F.filter(cuts, lambda c: c <= F.col(id_col)))))
+    ranged = rows.withColumn("_range", F.when(F.col(id_col).isNull(), null_range).otherwise(range_of))
 
     least = ranged.groupBy("_range").agg(F.min(id_col).alias("_least"))
     heads = ranged.join(F.broadcast(least.withColumnRenamed("_range", "_r")), (F.col("_range") == F.col("_r")) & F.col(id_col).eqNullSafe(F.col("_least")))
