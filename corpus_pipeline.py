@@ -26,8 +26,10 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with windows of two or more benchmark items go."""
-    return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    """Documents with windows of two or more benchmark items go; of those with windows of one, the hit words are cut out, and n_chars counts what is left."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    clean = decontaminate.decontaminate(docs, benchmark, mode="spans", min_items=1, drop_items=2)
+    return clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

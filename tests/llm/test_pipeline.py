@@ -54,3 +54,17 @@ def test_empty_and_null_rows(spark):
         for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, spark.createDataFrame(rows, schema), SF).collect()
             assert len(out) <= len(rows) and (name not in ("repeated_substrings", "encoding") or len(out) == len(rows))
+
+
+def test_decontamination_cuts_one_item(spark):
+    """A document with one whole item loses the item's words; with two it goes; without, it stays as it is."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    items = [r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect() if len(r["text"].split()) >= 8][:2]
+    texts = [f"Before this. {items[0]} After that.", f"{items[0]} {items[1]}", "Before this. After that."]
+    made = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], docs.schema)
+    bench = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    assert [x[3] for x in leak_expected([(i, t) for i, t in enumerate(texts)], bench)] == [1, 2, 0]
+    found = {r["doc_id"]: r for r in corpus_pipeline.decontamination_stage(spark, made, SF).collect()}
+    assert sorted(found) == [0, 2]
+    assert found[0]["text"] == "Before this. After that." == found[2]["text"]
+    assert all(r["n_chars"] == len(r["text"]) for r in found.values())

@@ -93,14 +93,16 @@ def covered(spans: Column) -> Column:
     return F.aggregate(spans, start, step, lambda acc: acc["total"])
 
 
-def decontaminate(documents: DataFrame, benchmark: DataFrame, mode: str = "documents", min_items: int = 2, id_col: str = "doc_id", text_col: str = "text", **names) -> DataFrame:
+def decontaminate(documents: DataFrame, benchmark: DataFrame, mode: str = "documents", min_items: int = 2, drop_items: int | None = None, id_col: str = "doc_id", text_col: str = "text", **names) -> DataFrame:
     """``documents`` without what is in the benchmark.
 
     ``mode="documents"`` drops each document with windows of at least
     ``min_items`` items; ``mode="spans"`` keeps all documents and cuts the hit
-    words, with what follows each up to the next word, out of those.
+    words, with what follows each up to the next word, out of those. With
+    ``drop_items``, it drops documents with windows of at least so many items
+    and cuts the others.
     """
-    found = scan(documents, benchmark, id_col, text_col, **names).filter(F.size("items") >= min_items).select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("spans").alias("_spans")).dropDuplicates(["_id", "_hash"])
+    found = scan(documents, benchmark, id_col, text_col, **names).filter(F.size("items") >= min_items).select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("spans").alias("_spans"), F.size("items").alias("_items")).dropDuplicates(["_id", "_hash"])
     same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_hash"))
     if mode == "documents":
         return documents.join(found, same, "left_anti")
@@ -112,7 +114,10 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, mode: str = "docum
     head = F.regexp_extract(F.col(text_col), r"^[^0-9A-Za-z\x{80}-\x{10FFFF}]*", 0)
     inside = lambda i: F.exists("_spans", lambda s: (i >= s["at"]) & (i < s["at"] + s["len"]))
     kept = F.concat(head, F.array_join(F.filter(pieces, lambda x, i: ~inside(i)), ""))
-    joined = documents.join(found, same, "left").withColumn(text_col, F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(kept))
+    joined = documents.join(found, same, "left")
+    if drop_items is not None:
+        joined = joined.filter(F.coalesce(F.col("_items") < drop_items, F.lit(True)))
+    joined = joined.withColumn(text_col, F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(kept))
     return joined.select(*documents.columns)
 
 
