@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import SF
 from threadloom.functions import scalars as S
 from threadloom.functions import text as T
 from threadloom.operators import cleaning as C
@@ -21,6 +22,7 @@ from threadloom.operators import reassignment as A
 from threadloom.operators import splitting as W
 from threadloom.operators import topics as O
 from threadloom.operators import vectors as V
+from threadloom.plans import topics
 from threadloom.plans.runner import Runner, Snapshot
 from threadloom.sources import api, jsonl, sinks
 from threadloom.streaming import ingest
@@ -84,6 +86,20 @@ def test_near_duplicate_groups_are_transitive(spark):
         V.exact_pairs(df, "i", "v", 0.9, ceiling=2)
 
 
+def test_pairs_in_blocks_are_exact(spark, monkeypatch):
+    """The blocks find what one broadcast finds, with kinds too, and the queries take them beyond the bound."""
+    rng = np.random.default_rng(7)
+    df = spark.createDataFrame([(i, v.tolist(), "cr"[i % 2]) for i, v in enumerate(rng.normal(size=(150, 6)))], "i long, v array<double>, k string")
+    for kind in (None, "k"):
+        exact = sorted(V.exact_pairs(df, "i", "v", 0.5, kind).collect())
+        assert exact and sorted(V.block_pairs(df, "i", "v", 0.5, kind, block=40).collect()) == exact
+    assert V.block_pairs(df.limit(0), "i", "v", 0.5).count() == 0
+    rows = topics.embeddings(spark, SF)
+    exact = sorted(V.exact_pairs(rows, "vec_id", "embedding", topics.NEAR).collect())
+    monkeypatch.setattr(V, "EXHAUSTIVE", 100)
+    assert exact and sorted(topics._pairs(spark, SF).collect()) == exact
+
+
 def test_label_order(spark):
     df = spark.createDataFrame(list(enumerate([9, 9, 3, -1, 3, 3, 7, 7])), "i long, label long")
     assert {r[0]: r[1] for r in O.label_order(df, "label", "i").collect()} == {3: 0, 9: 1, 7: 2, -1: -1}

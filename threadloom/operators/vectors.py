@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from threadloom.functions import scalars as S
 from threadloom.sources.shared import materialise, remove
 
-#: Rows up to which all pairs are compared; beyond, candidates come from hashing.
+#: Rows that are broadcast at once to be compared with all; more go out in blocks of about so many.
 EXHAUSTIVE = 50_000
 
 
@@ -31,15 +31,43 @@ def exact_pairs(df: DataFrame, key: str, vector: str, threshold: float, kind: st
     names = [key, vector, *([kind] if kind else [])]
     rows = df.select(*names)
     if rows.limit(ceiling + 1).count() > ceiling:
-        raise ValueError(f"all pairs are compared up to {ceiling} rows; use hashed_pairs beyond")
-    whole = rows.toArrow()
-    shared = df.sparkSession.sparkContext.broadcast((whole.column(key).to_numpy(), matrix(whole.column(vector)) if len(whole) else np.zeros((0, 1)), np.array(whole.column(kind).to_pylist()) if kind else None))
+        raise ValueError(f"all pairs are compared at once up to {ceiling} rows; use block_pairs beyond")
+    return similar(_matches(rows, rows, key, vector, threshold, kind)[0], df, key, vector)
+
+
+def block_pairs(df: DataFrame, key: str, vector: str, threshold: float, kind: str | None = None, block: int = EXHAUSTIVE) -> DataFrame:
+    """The pairs of ``exact_pairs`` for a table of any size.
+
+    Rows fall by the hash of their key into blocks of about ``block`` rows; each
+    block in turn goes to every executor and meets all rows, and its matches are
+    written to the shared folder before the next, so that one block is held at a time.
+    """
+    narrow = df.select(key, vector, *([kind] if kind else []))
+    blocks = max(1, -(-narrow.count() // block))
+    rows, path = materialise(narrow.repartition(max(df.sparkSession.sparkContext.defaultParallelism, 4 * blocks), key), "vectors")
+    out = None
+    for i in range(blocks):
+        part = rows.filter(F.pmod(F.xxhash64(key), F.lit(blocks)) == i)
+        found, shared = _matches(rows, part, key, vector, threshold, kind)
+        found, _ = materialise(found, "pairs")
+        shared.destroy()
+        out = found if out is None else out.union(found)
+    remove(df.sparkSession, path)
+    return similar(out, df, key, vector)
+
+
+def _matches(rows: DataFrame, part: DataFrame, key: str, vector: str, threshold: float, kind: str | None):
+    """Pairs (left, right) of ``rows`` with those of ``part``, which are gathered and broadcast; and the broadcast."""
+    whole = part.toArrow()
+    shared = rows.sparkSession.sparkContext.broadcast((whole.column(key).to_numpy(), matrix(whole.column(vector)) if len(whole) else None, np.array(whole.column(kind).to_pylist()) if kind else None))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, m, kinds = shared.value
+        if m is None:
+            return
         for b in batches:
-            for i in range(0, b.num_rows, 1024):
-                part = b.slice(i, 1024)
+            for i in range(0, b.num_rows, 256):
+                part = b.slice(i, 256)
                 left = part.column(key).to_numpy()
                 found = (matrix(part.column(vector)) @ m.T >= threshold) & (left[:, None] < ids[None, :])
                 if kinds is not None:
@@ -47,8 +75,7 @@ def exact_pairs(df: DataFrame, key: str, vector: str, threshold: float, kind: st
                 r, c = np.nonzero(found)
                 yield pa.RecordBatch.from_arrays([pa.array(left[r]), pa.array(ids[c])], names=["left", "right"])
 
-    pairs = rows.select(*names).mapInArrow(run, "left long, right long")
-    return similar(pairs, df, key, vector)
+    return rows.mapInArrow(run, "left long, right long"), shared
 
 
 def similar(pairs: DataFrame, df: DataFrame, key: str, vector: str) -> DataFrame:

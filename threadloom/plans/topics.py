@@ -75,7 +75,7 @@ PAIRS = f"pairs AS (SELECT a.vec_id AS l, b.vec_id AS r, {cos('a.embedding::DOUB
 def _pairs(spark, d):
     rows = embeddings(spark, d)
     if rows.limit(V.EXHAUSTIVE + 1).count() > V.EXHAUSTIVE:
-        return V.hashed_pairs(rows, "vec_id", "embedding", NEAR)
+        return V.block_pairs(rows, "vec_id", "embedding", NEAR, block=V.EXHAUSTIVE)
     return V.exact_pairs(rows, "vec_id", "embedding", NEAR)
 
 
