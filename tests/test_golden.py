@@ -22,7 +22,7 @@ from threadloom.operators import reassignment as A
 from threadloom.operators import splitting as W
 from threadloom.operators import topics as O
 from threadloom.operators import vectors as V
-from threadloom.plans import topics
+from threadloom.plans import models, topics
 from threadloom.plans.runner import Runner, Snapshot
 from threadloom.sources import api, jsonl, sinks
 from threadloom.streaming import ingest
@@ -100,6 +100,20 @@ def test_pairs_in_blocks_are_exact(spark, monkeypatch):
     assert exact and sorted(topics._pairs(spark, SF).collect()) == exact
 
 
+def test_candidates_reach_their_recall(spark):
+    """Against all pairs, with the query's own parameters, and at a threshold where hashing is used."""
+    pairs = lambda df: {(r["left"], r["right"]) for r in df.collect()}
+    exact = pairs(V.exact_pairs(topics.embeddings(spark, SF), "vec_id", "embedding", topics.NEAR))
+    found = pairs(models.j09_lsh_candidates(spark, SF))
+    assert exact and found <= exact and len(found) >= 0.9 * len(exact)
+    rng = np.random.default_rng(11)
+    near = np.repeat(rng.normal(size=(100, 64)), 4, axis=0) + 0.45 * rng.normal(size=(400, 64))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(near)], "i long, v array<double>")
+    assert V.tables_needed(0.8) <= V.MOST_TABLES
+    exact, found = pairs(V.exact_pairs(df, "i", "v", 0.8)), pairs(V.candidate_pairs(df, "i", "v", 0.8))
+    assert len(exact) > 300 and found <= exact and len(found) >= 0.9 * len(exact)
+
+
 def test_label_order(spark):
     df = spark.createDataFrame(list(enumerate([9, 9, 3, -1, 3, 3, 7, 7])), "i long, label long")
     assert {r[0]: r[1] for r in O.label_order(df, "label", "i").collect()} == {3: 0, 9: 1, 7: 2, -1: -1}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +15,8 @@ from threadloom.sources.shared import materialise, remove
 
 #: Rows that are broadcast at once to be compared with all; more go out in blocks of about so many.
 EXHAUSTIVE = 50_000
+#: Bits of a hash code, the recall that the tables are counted for, and the tables beyond which exact comparison takes over.
+BITS, RECALL, MOST_TABLES = 12, 0.95, 64
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -104,6 +107,23 @@ def hashed_pairs(df: DataFrame, key: str, vector: str, threshold: float, bits: i
     return similar(pairs, df, key, vector).filter(F.col("similarity") >= threshold)
 
 
+def tables_needed(threshold: float, bits: int = BITS, recall: float = RECALL) -> int:
+    """Tables with which a pair right at the threshold shares a bucket with probability ``recall``; more alike pairs do so more often."""
+    same_side = 1 - math.acos(threshold) / math.pi
+    return 1 if same_side == 1 else math.ceil(math.log(1 - recall) / math.log(1 - same_side**bits))
+
+
+def candidate_pairs(df: DataFrame, key: str, vector: str, threshold: float) -> DataFrame:
+    """Pairs at the threshold by hashing with as many tables as ``RECALL`` asks for.
+
+    Low thresholds need so many tables that buckets hold a large part of all pairs; there ``block_pairs`` finds all.
+    """
+    tables = tables_needed(threshold)
+    if tables > MOST_TABLES:
+        return block_pairs(df, key, vector, threshold, block=EXHAUSTIVE)
+    return hashed_pairs(df, key, vector, threshold, BITS, tables)
+
+
 def nearest(df: DataFrame, queries: DataFrame, key: str, vector: str, k: int, block: int = 4096) -> DataFrame:
     """for each query row its k most alike other rows, (query, id, similarity, rank).
 

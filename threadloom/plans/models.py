@@ -16,7 +16,7 @@ from threadloom.streaming import ingest
 
 @query()
 def j09_lsh_candidates(spark, d):
-    return V.hashed_pairs(embeddings(spark, d), "vec_id", "embedding", NEAR)
+    return V.candidate_pairs(embeddings(spark, d), "vec_id", "embedding", NEAR)
 
 
 @query()
