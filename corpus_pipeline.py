@@ -16,13 +16,13 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies stays."""
-    return simhash.deduplicate(docs)
+    """One document of each component of near copies stays. The rule is that for texts with a few words changed, of which query op8's three bits would find few."""
+    return simhash.deduplicate(docs, rule=simhash.WORDS)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes in repeated 400-byte strings are cut out of the texts, and n_chars counts what is left; every document stays."""
-    return substrings.deduplicate(docs).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    """Repeated passages of more than 50 words are cut out of the texts but for one copy of each, and n_chars counts what is left; every document stays."""
+    return substrings.deduplicate(docs, shape=substrings.WORDS_50, keep="first").withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

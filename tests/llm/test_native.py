@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import struct
 import zlib
 
 import pytest
@@ -128,15 +129,70 @@ def test_any_number_of_blocks_finds_all_pairs(spark, blocks):
     base = [rng.getrandbits(64) for _ in range(6)]
     prints = sorted({b ^ sum(1 << rng.randrange(64) for _ in range(rng.randrange(5))) & (2**64 - 1) for b in base for _ in range(12)})
     signed = [p - (1 << 64) if p >> 63 else p for p in prints]
-    found = simhash.close_pairs(spark.createDataFrame([(p,) for p in signed], "fp long"), blocks).collect()
+    found = simhash.close_pairs(spark.createDataFrame([(p,) for p in signed], "fp long"), simhash.Rule("shingles", blocks, blocks - 3, 3)).collect()
     expected = {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= 3}
     assert len(found) == len(expected) and {tuple(r) for r in found} == expected
 
 
+def words_expected(rows, rule=simhash.WORDS):
+    """The component of each document by ``rule``, all pairs compared: its smallest id."""
+    prints = []
+    for _, t in rows:
+        t = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+        words = sorted(set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t)))
+        both = []
+        for hashed in (lambda w: xxhash.xxh64_intdigest(w, seed=42), lambda w: xxhash.xxh64_intdigest(w, seed=xxhash.xxh64_intdigest(struct.pack("<i", 1), seed=42))):
+            h = [hashed(w.encode()) for w in words]
+            both.append(sum(1 << i for i in range(64) if 2 * sum(x >> i & 1 for x in h) > len(h)))
+        prints.append(both)
+    masks = [(1 << 64 * (i + 1) // rule.blocks) - (1 << 64 * i // rule.blocks) for i in range(rule.blocks)]
+    root = list(range(len(rows)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, (a, b) in enumerate(prints):
+        for j in range(i):
+            x, y = prints[j][0] ^ a, prints[j][1] ^ b
+            if x.bit_count() + y.bit_count() <= rule.distance and any(sum(not z & m for m in masks) >= rule.share for z in (x, y)):
+                i_, j_ = top(i), top(j)
+                root[max(i_, j_)] = min(i_, j_)
+    return [top(i) for i in range(len(rows))]
+
+
+def edited(seed):
+    """Texts of 150 words from a large vocabulary, and copies with one word in twenty changed."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefghijkl") for _ in range(rng.randrange(2, 9)))
+    vocabulary = [word() for _ in range(3000)]
+    base = [[rng.choice(vocabulary) for _ in range(150)] for _ in range(30)]
+    return [(i, " ".join(rng.choice(vocabulary) if i >= 30 and rng.random() < 0.05 else w for w in base[i % 30])) for i in range(90)]
+
+
+@pytest.mark.parametrize("rows", [[r for r in ODD if r[0] is not None], near_copies(1), edited(1)], ids=["odd", "copies", "edited"])
+def test_simhash_of_words(spark, rows):
+    """The rule for edited copies against all pairs; nine in ten copies with one word in twenty changed are found."""
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    expected = words_expected(rows)
+    kept = simhash.deduplicate(docs_of(spark, rows), rule=simhash.WORDS)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(expected))
+    if len(rows) == 90:
+        assert len(set(expected)) >= 30 and 90 - len(set(expected)) >= 54
+
+
+def test_simhash_ties_and_names(spark):
+    rows = [(1, "a b c", "y", 1, 1), (1, "a b c", "x", 2, 1), (1, "a b c", "x", 1, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _rank string, _text_hash int, _ID_HASH int")
+    kept = [simhash.deduplicate(d).collect() for d in (docs, docs.repartition(3), docs.orderBy(F.desc("_rank")))]
+    assert kept[0] == kept[1] == kept[2] and len(kept[0]) == 1 and tuple(kept[0][0]) in rows
+
+
 def test_components_of_a_chain(spark):
     n = 40
     edges = spark.createDataFrame([(i, i + 1) for i in range(n) if i != 20], "a long, b long")
-    roots = {r["v"]: r["root"] for r in simhash.components(edges).collect()}
+    roots = {r["v"]: r["root"] for r in simhash.components(edges, "a", "b").collect()}
     assert all(roots[i] == (0 if i <= 20 else 21) for i in range(1, n + 1) if i != 21)
 
 

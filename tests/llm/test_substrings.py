@@ -1,6 +1,5 @@
 import hashlib
 import random
-from collections import Counter
 
 import numpy as np
 import pytest
@@ -8,22 +7,44 @@ import pytest
 from threadloom.llm import substrings as s
 
 
-def brute(texts):
-    """(n_bytes, n_removed, n_spans, sha256 of what is left) of each text, by counting every string."""
+def cut(texts, shape=s.BYTES_400, order=None):
+    """(bytes, removed runs) of each text, by counting every string; ``order`` gives each text's place, by which the first copy stays."""
     data = [(t or "").encode() for t in texts]
-    count = Counter(d[i : i + s.LENGTH] for d in data for i in range(len(d) - s.LENGTH + 1))
+    at = {}
+    for k, d in enumerate(data):
+        for i in range(len(d) - shape.length + 1):
+            at.setdefault(d[i : i + shape.length], []).append((order[k] if order else k, i))
     out = []
-    for d in data:
-        gone = np.zeros(len(d), bool)
-        for i in range(len(d) - s.LENGTH + 1):
-            if count[d[i : i + s.LENGTH]] > 1:
-                gone[i : i + s.LENGTH] = True
-        edge = np.diff(np.pad(gone.astype(np.int8), 1))
-        left = bytes(np.frombuffer(d, np.uint8)[~gone])
-        out.append((len(d), int(gone.sum()), int((edge == 1).sum()), hashlib.sha256(left).hexdigest()))
+    for k, d in enumerate(data):
+        gone = np.zeros(len(d) + 1, np.int64)
+        for i in range(len(d) - shape.length + 1):
+            places = at[d[i : i + shape.length]]
+            if (order[k], i) > min(places) if order else len(places) > 1:
+                gone[i] += 1
+                gone[i + shape.length] -= 1
+        edge = np.flatnonzero(np.diff(np.pad((np.cumsum(gone)[:-1] > 0).astype(np.int8), 1)))
+        runs = [(a, b) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()) if len(d[a:b].split()) >= shape.words]
+        out.append((d, runs))
     return out
 
 
+def left(d, runs):
+    return b"".join(d[a:b] for a, b in zip([0, *[b for _, b in runs]], [*[a for a, _ in runs], len(d)]))
+
+
+def brute(texts):
+    """(n_bytes, n_removed, n_spans, sha256 of what is left, n_passages, passage_bytes) of each text."""
+    passages = [runs for _, runs in cut(texts, s.WORDS_50)]
+    size = lambda runs: sum(b - a for a, b in runs)
+    return [(len(d), size(runs), len(runs), hashlib.sha256(left(d, runs)).hexdigest(), len(p), size(p)) for (d, runs), p in zip(cut(texts), passages)]
+
+
+def places(spark, texts):
+    """The order of texts in which the first copy stays: by their keys."""
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string").select("i", *s._keys("text")).collect()
+    return [tuple(r)[1:] for r in sorted(rows)]
+
+
 def corpus(seed, n=60, alphabet="ab cdéß"):
     rng = random.Random(seed)
     text = lambda k: "".join(rng.choice(alphabet) for _ in range(k))
@@ -56,13 +77,43 @@ def test_report_matches_brute_force(spark, seed):
 def test_crowded_anchors(spark):
     texts = corpus(7)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    keyed, spans = s.repeats(docs, hot=1)
-    by = {}
-    for r in spans.collect():
-        by.setdefault((r["k1"], r["k2"]), []).append((r["lo"], r["hi"]))
-    for r in keyed.collect():
-        gone = s.removed_ranges(10**9, by.get((r["__k1"], r["__k2"]), []))
-        assert sum(b - a for a, b in gone) == brute(texts)[r["doc_id"]][1]
+    keys = places(spark, texts)
+    for keep, expected in (("none", cut(texts)), ("first", cut(texts, order=keys))):
+        by = {}
+        for r in s.repeats(docs, [s.BYTES_400], keep=keep, hot=1).collect():
+            by.setdefault((r["k1"], r["k2"]), []).append((r["lo"], r["hi"]))
+        for key, (_, runs) in zip(keys, expected):
+            assert s.removed_ranges(10**9, by.get(key, [])) == runs
+
+
+@pytest.mark.parametrize("shape", [s.BYTES_400, s.Shape(200, 50), s.WORDS_50])
+def test_first_copy_stays(spark, shape):
+    """Distinct texts: what is left equals brute force, and each string that was there is still there once."""
+    texts = [t for t in dict.fromkeys(corpus(11, alphabet="ab cdéß")) if t is not None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: r["text"] for r in s.deduplicate(docs, shape=shape, keep="first").collect()}
+    expected = [left(*x).decode("utf-8", "ignore") for x in cut(texts, shape, places(spark, texts))]
+    assert [found[i] for i in range(len(texts))] == expected
+    assert any(a != b for a, b in zip(texts, expected))
+
+
+def test_equal_rows_count_as_one_text_when_the_first_stays(spark):
+    text = "".join(map(str, range(400)))
+    docs = spark.createDataFrame([(1, text), (2, text), (1, text)], "doc_id long, text string")
+    assert [r["text"] for r in s.deduplicate(docs, keep="first").collect()] == [text] * 3
+    assert [r["text"] for r in s.deduplicate(docs).collect()] == [""] * 3
+
+
+def test_names_that_clash(spark):
+    docs = spark.createDataFrame([(1, "x" * 500, 1, 2, "c")], "doc_id long, text string, _spans int, __SPANS int, _key_a string")
+    kept = s.deduplicate(docs)
+    assert kept.columns == docs.columns and kept.collect()[0].asDict() == {"doc_id": 1, "text": "", "_spans": 1, "__SPANS": 2, "_key_a": "c"}
+
+
+def test_shapes_out_of_bounds():
+    for bad in ((10, 20), (5000, 10), (10, 0)):
+        with pytest.raises(ValueError):
+            s.Shape(*bad)
 
 
 def test_repeated_rows_nulls_and_empty_tables(spark):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from threadloom.sources.shared import materialise, remove, shared_dir
 
-__all__ = ["lower_ascii", "materialise", "new_path", "remove", "shared_dir", "worker_cache"]
+__all__ = ["lower_ascii", "materialise", "new_path", "remove", "shared_dir", "unused", "worker_cache"]
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -26,6 +26,15 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/threadloom/{name}-{uuid.uuid4().hex}"
 
 
+def unused(columns: list[str], name: str) -> str:
+    """``name`` behind as many underscores as set it apart from ``columns``, in any case of letters."""
+    taken = {c.lower() for c in columns}
+    name = f"_{name}"
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def worker_cache() -> dict:
     """What a Python worker keeps from task to task, such as a loaded vocabulary."""
     return sys.modules.setdefault("_threadloom_worker", types.ModuleType("_threadloom_worker")).__dict__
