@@ -1,7 +1,9 @@
 import hashlib
 import random
+import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from threadloom.llm import substrings as s
@@ -23,7 +25,11 @@ def cut(texts, shape=s.BYTES_400, order=None):
                 gone[i] += 1
                 gone[i + shape.length] -= 1
         edge = np.flatnonzero(np.diff(np.pad((np.cumsum(gone)[:-1] > 0).astype(np.int8), 1)))
-        runs = [(a, b) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()) if len(d[a:b].split()) >= shape.words]
+        runs = list(zip(edge[::2].tolist(), edge[1::2].tolist()))
+        if shape.words:
+            spans = [m.span() for m in re.finditer(rb"\S+", d)] + [(len(d), len(d) + 1)]
+            inside = [[i for i, (x, y) in enumerate(spans) if a <= x and y <= b] for a, b in runs]
+            runs = [(spans[w[0]][0], min(b, spans[w[-1] + 1][0])) for w, (_, b) in zip(inside, runs) if len(w) >= shape.words]
         out.append((d, runs))
     return out
 
@@ -104,6 +110,26 @@ def test_equal_rows_count_as_one_text_when_the_first_stays(spark):
     assert [r["text"] for r in s.deduplicate(docs).collect()] == [""] * 3
 
 
+@pytest.mark.parametrize("stays", [False, True])
+def test_small_batches_see_the_same(stays):
+    """Equal contexts, and anchors of several contexts, that lie across batches."""
+    rng = np.random.default_rng(5)
+    rows = np.array(sorted((rng.integers(4), rng.integers(3), 1 + (rng.random() < 0.2), rng.integers(3), 7, rng.integers(3)) for _ in range(60)))
+    rows = rows[np.lexsort((rows[:, 5], rows[:, 3], rows[:, 1], rows[:, 0]))]
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([np.zeros(60), *rows.T], kinds)], names=["s", "h", "ctx", "n", "k1", "k2", "run"])
+    seen = []
+    for step in (60, 1, 2, 7):
+        out = s._classify(iter([batch.slice(i, step) for i in range(0, 60, step)]), stays)
+        seen.append({tuple(r.values()) for b in out for r in b.to_pylist()})
+    assert seen[0] and all(x == seen[0] for x in seen)
+    members = {}
+    for h, ctx, n, k1, _, run in rows.tolist():
+        members.setdefault((h, ctx), []).append((k1, run, n))
+    whole = {(0, 0, h, k1, 7, run) for (h, _), m in members.items() for k1, run, n in (m if not stays else [x for x in m if x[:2] != m[0][:2]]) if len(m) > 1 or n > 1}
+    assert {x for x in seen[0] if x[0] == 0} == whole
+
+
 def test_names_that_clash(spark):
     docs = spark.createDataFrame([(1, "x" * 500, 1, 2, "c")], "doc_id long, text string, _spans int, __SPANS int, _key_a string")
     kept = s.deduplicate(docs)

@@ -40,6 +40,7 @@ keeps. Ids play no part and may be null or repeated; extra columns are ignored b
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -54,7 +55,7 @@ from threadloom.llm.common import materialise, unused, worker_cache
 
 @dataclass(frozen=True)
 class Shape:
-    """Strings of ``length`` bytes, anchored at grams of ``gram`` bytes. Runs of removed bytes that hold fewer than ``words`` pieces between white space stay."""
+    """Strings of ``length`` bytes, anchored at grams of ``gram`` bytes. With ``words``, runs of removed bytes shrink to whole words, with the white space behind each, and those of fewer words stay."""
 
     length: int = 400
     gram: int = 100
@@ -408,7 +409,20 @@ def _with_spans(documents: DataFrame, shapes: list[Shape], text_col: str, keep:
 
 def _gone(data: bytes, spans: list | None, s: int, shape: Shape) -> list[tuple[int, int]]:
     gone = removed_ranges(len(data), [(x["lo"], x["hi"]) for x in spans or [] if x["s"] == s], shape.length)
-    return [(a, b) for a, b in gone if not shape.words or len(data[a:b].split()) >= shape.words]
+    if shape.words:
+        gone = [(a, b) for a, b in (_whole_words(data, *r) for r in gone) if len(data[a:b].split()) >= shape.words]
+    return gone
+
+
+def _whole_words(data: bytes, a: int, b: int) -> tuple[int, int]:
+    """The part of a run from the first word that begins in it to the white space behind the last that ends in it."""
+    if a and data[a - 1 : a].strip():
+        split = re.search(rb"\s", data[a:b])
+        a = a + split.start() if split else b
+    a = b - len(data[a:b].lstrip())
+    if data[b : b + 1].strip() and data[b - 1 : b].strip():
+        b = a + len(re.sub(rb"\S+$", b"", data[a:b]))
+    return a, b
 
 
 def _left(data: bytes, gone: list[tuple[int, int]]) -> list[bytes]:
