@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom.functions import text as T
+from threadloom.sources.shared import materialise
+from threadloom.sources.tables import spread
 
 THANKS = ["спс", "спасибо", "благодарю", "класс", "супер", "круто", "лайк", "огонь", "топ", "красота", "молодец", "молодцы", "здорово", "отлично", "браво"]
 #: Characters beside letters and digits that aren't symbols.
@@ -41,9 +43,9 @@ def prepare(df: DataFrame, text_col: str, gates: Gates = Gates()) -> DataFrame:
 
 
 def acknowledgement(text: Column) -> Column:
-    """One to three words, all of them thanks."""
-    words = T.words(text)
-    return (F.size(words) > 0) & (F.size(words) <= 3) & F.forall(words, lambda w: w.isin(THANKS))
+    """One to three words, all of them thanks. One anchored expression, which most texts leave at their first word."""
+    letter = "а-яёa-z"
+    return F.lower(text).rlike(rf"\A[^{letter}]*+(?:(?:{'|'.join(THANKS)})(?![{letter}])[^{letter}]*+){{1,3}}\z")
 
 
 def share(text: Column, of: str, among: str) -> Column:
@@ -110,7 +112,8 @@ def legacy_reason(text: Column, min_length: int) -> Column:
 def exact_duplicates(df: DataFrame, keys: list[str], order: str, kept: Column) -> DataFrame:
     """Among rows that are kept, ``representative`` (the earliest of equal keys) and ``duplicate_count``; null elsewhere.
 
-    One aggregate per key and a join, so a key that very many rows share is folded before it moves.
+    One aggregate per key and a join, so a key that very many rows share is folded before it moves. ``df`` is read
+    twice: pass a table that was written, with hashes for keys, rather than a plan over texts.
     """
     first = df.filter(kept).groupBy(*keys).agg(F.min(order).alias("representative"), F.count("*").alias("duplicate_count"))
     same = None
@@ -120,28 +123,37 @@ def exact_duplicates(df: DataFrame, keys: list[str], order: str, kept: Column) -
     return df.join(first, same & kept, "left").select(df["*"], first["representative"], first["duplicate_count"])
 
 
-def cleaned(df: DataFrame, text_col: str, kind_col: str, order: str, gates: Gates = Gates()) -> DataFrame:
-    """The cleaning stage: prepared, classified, and equal texts of a kind marked ``exact_duplicate`` but for the earliest."""
-    rows = classified(prepare(df, text_col, gates), text_col, gates)
-    out = exact_duplicates(rows, [kind_col, "text_key"], order, F.col("reason") == "keep")
+def _marked(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Narrow classified rows with equal keys marked ``exact_duplicate`` but for the earliest. Writes them once, so that texts are prepared once and none is shuffled."""
+    narrow, _ = materialise(rows, "classified")
+    out = exact_duplicates(narrow, keys, order, F.col("reason") == "keep")
     return out.withColumn("reason", F.when((F.col("reason") == "keep") & (F.col(order) != F.col("representative")), "exact_duplicate").otherwise(F.col("reason")))
 
 
-def legacy_clean(df: DataFrame, text_col: str, order: str, min_length: int, spam: bool = False) -> DataFrame:
-    """Legacy gate, optional noise, then the earliest of equal normalised texts."""
+def cleaned(df: DataFrame, text_col: str, kind_col: str, order: str, gates: Gates = Gates(), keep: tuple[str, ...] = ()) -> DataFrame:
+    """The cleaning stage: prepared, classified, and equal texts of a kind marked ``exact_duplicate`` but for the earliest.
+
+    (order, kind, ``keep`` columns, key_sha256, reason, representative, duplicate_count); the texts themselves stay where they are.
+    """
+    names = list(dict.fromkeys([order, kind_col, *keep]))
+    rows = classified(prepare(spread(df.select(*dict.fromkeys([*names, text_col]))), text_col, gates), text_col, gates)
+    return _marked(rows.select(*names, F.sha2("text_key", 256).alias("key_sha256"), "reason"), [kind_col, "key_sha256"], order)
+
+
+def legacy_clean(df: DataFrame, text_col: str, order: str, min_length: int, spam: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Legacy gate, optional noise, then the earliest of equal normalised texts; (order, ``keep`` columns, key_sha256, reason, representative, duplicate_count)."""
     reason = legacy_reason(F.col(text_col), min_length)
     if spam:
         reason = F.when((reason == "keep") & noise(F.col(text_col)), "pipeline_noise").otherwise(reason)
-    rows = df.withColumn("reason", reason).withColumn("text_key", T.collapse(T.casefold(F.col(text_col))))
-    out = exact_duplicates(rows, ["text_key"], order, F.col("reason") == "keep")
-    return out.withColumn("reason", F.when((F.col("reason") == "keep") & (F.col(order) != F.col("representative")), "exact_duplicate").otherwise(F.col("reason")))
+    key = F.sha2(T.collapse(T.casefold(F.col(text_col))), 256).alias("key_sha256")
+    return _marked(spread(df).select(*dict.fromkeys([order, *keep]), key, reason.alias("reason")), ["key_sha256"], order)
 
 
 def informative(text_key: Column, min_chars: int = 20, min_tokens: int = 4) -> Column:
     """G11, of a leakage key."""
-    found = T.tokens(text_key)
-    thanks = (F.size(found) <= 3) & F.forall(found, lambda w: w.isin(THANKS))
-    return (F.char_length(text_key) >= min_chars) & (F.size(found) >= min_tokens) & ~thanks
+    token, other = r"[\p{L}\p{N}]++", r"[^\p{L}\p{N}]*+"
+    thanks = text_key.rlike(rf"\A{other}(?:(?:{'|'.join(THANKS)})(?![\p{{L}}\p{{N}}]){other}){{0,3}}\z")
+    return (F.char_length(text_key) >= min_chars) & text_key.rlike(rf"\A(?:{other}{token}){{{min_tokens}}}") & ~thanks
 
 
 def earliest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from threadloom.functions import text as T
 from threadloom.operators import cleaning as C
+from threadloom.sources.tables import spread
 
 LENGTHS = (20, 50, 100, 200, 500, 1000)
 DUPLICATES = (2, 3, 5, 10, 50, 100)
@@ -15,7 +16,7 @@ DUPLICATES = (2, 3, 5, 10, 50, 100)
 def inspection(df: DataFrame, id_col: str, text_col: str, distinct: list[str]) -> DataFrame:
     """Rows, distinct ids, texts and other columns, and the groups of equal texts. Each distinct count is two aggregates."""
     key = T.leakage_key(F.col(text_col))
-    groups = df.groupBy(F.sha2(key, 256).alias("k")).agg(F.count("*").alias("n"))
+    groups = spread(df.select(text_col)).groupBy(F.sha2(key, 256).alias("k")).agg(F.count("*").alias("n"))
     of_texts = groups.agg(F.count("*").alias("n_texts"), F.count_if(F.col("n") > 1).alias("n_groups"), F.max("n").alias("largest"), F.sum(F.col("n") - 1).alias("n_duplicates"))
     of_rows = df.agg(F.count("*").alias("n_rows"), F.count_distinct(id_col).alias("n_ids"), *[F.count_distinct(c).alias(f"n_{c}") for c in distinct])
     return of_rows.crossJoin(of_texts)  # one row each

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from threadloom.functions import scalars as S
 from threadloom.functions import text as T
 from threadloom.operators.cleaning import informative
+from threadloom.sources.shared import materialise
+from threadloom.sources.tables import spread
 
 SPLITS = ("development", "validation", "test")
 
@@ -21,11 +23,13 @@ def owned(df: DataFrame, text_col: str) -> DataFrame:
     """``written`` is false where an informative text belongs to a split of higher priority.
 
     The owner of a text is an aggregate over (text hash); repeated texts are
-    folded before they move, then joined back.
+    folded before they move, then joined back. Keys are made once and written
+    with the other columns; the text itself is not kept.
     """
     key = T.leakage_key(F.col(text_col))
     rank = F.array_position(F.array(*[F.lit(s) for s in SPLITS]), F.col("split"))
-    rows = df.withColumn("_key", key).withColumn("informative", informative(F.col("_key"))).withColumn("text_hash", F.sha2("_key", 256)).withColumn("_rank", rank).drop("_key")
+    keyed = spread(df).withColumn("_key", key).withColumn("informative", informative(F.col("_key"))).withColumn("text_hash", F.sha2("_key", 256)).withColumn("_rank", rank)
+    rows, _ = materialise(keyed.drop("_key", text_col), "owned")
     owner = rows.filter("informative").groupBy("text_hash").agg(F.min("_rank").alias("_owner"))
     joined = rows.join(owner, "text_hash", "left")
     return joined.withColumn("written", ~F.col("informative") | (F.col("_rank") == F.col("_owner"))).drop("_rank", "_owner")

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from threadloom.functions import scalars as S
+from threadloom.sources.shared import materialise
+from threadloom.sources.tables import spread
 
 TERM = r"[\p{L}\p{N}_][\p{L}\p{N}_-]*[\p{L}\p{N}_]"
 
@@ -77,14 +79,18 @@ def stop_words(*languages: str) -> list[str]:
 def topic_terms(df: DataFrame, topic: str, text: str, stop: list[str], ngrams: int = 2) -> DataFrame:
     """(topic, term, tf): counts of 1- to n-grams of the words that aren't stop words."""
     kept = F.filter(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)), lambda w: ~w.isin(stop))
-    rows = df.select(F.col(topic).alias("topic"), kept.alias("w"))
-    at = rows.filter(F.size("w") > 0).select("topic", "w", F.explode(F.sequence(F.lit(0), F.size("w") - 1)).alias("i"))
-    grams = [F.when(F.col("i") + n <= F.size("w"), F.array_join(F.slice("w", F.col("i") + 1, n), " ")) for n in range(1, ngrams + 1)]
-    return at.select("topic", F.explode(F.array(*grams)).alias("term")).filter("term IS NOT NULL").groupBy("topic", "term").agg(F.count("*").alias("tf"))
+    rows = spread(df.select(topic, text)).select(F.col(topic).alias("topic"), kept.alias("w"))
+    # a gram of n words is one of n - 1 words and the word behind it; slicing at each place would copy the array each time
+    grams = [F.col("w")]
+    for n in range(2, ngrams + 1):
+        size = F.greatest(F.size("w") - n + 1, F.lit(0))
+        grams.append(F.zip_with(F.slice(grams[-1], F.lit(1), size), F.slice("w", F.lit(n), size), lambda a, b: F.concat(a, F.lit(" "), b)))
+    return rows.filter(F.size("w") > 0).select("topic", F.explode(F.concat(*grams)).alias("term")).groupBy("topic", "term").agg(F.count("*").alias("tf"))
 
 
 def ctfidf(terms: DataFrame, min_df: int = 1, max_df: float = 0.95, max_features: int = 50_000, bm25: bool = True, damped: bool = True) -> DataFrame:
-    """(topic, term, weight). Documents are topics; features are the most frequent terms within the bounds on document frequency."""
+    """(topic, term, weight). Documents are topics; features are the most frequent terms within the bounds on document frequency. Writes the terms, which are read five times, once."""
+    terms, _ = materialise(terms, "terms")
     topics = terms.agg(F.count_distinct("topic").alias("n_topics"))
     per_term = terms.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("f")).crossJoin(F.broadcast(topics))
     bound = F.when(F.col("n_topics") == 1, F.lit(1.0)).otherwise(F.lit(max_df)) * F.col("n_topics")

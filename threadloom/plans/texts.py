@@ -62,14 +62,14 @@ w AS (SELECT *, min(doc_id) FILTER (WHERE gate = 'keep') OVER (PARTITION BY text
 def a12_document_cleaning(spark, d):
     """The flagship: prepare, classify, deduplicate, count."""
     docs = table(spark, d, "documents").select("doc_id", "lang", "text", F.lit("comment").alias("kind"))
-    return C.cleaned(docs, "text", "kind", "doc_id").groupBy("lang", "reason").agg(F.count("*").alias("n"))
+    return C.cleaned(docs, "text", "kind", "doc_id", keep=("lang",)).groupBy("lang", "reason").agg(F.count("*").alias("n"))
 
 
 @query(f"""WITH {CLEANED} SELECT doc_id, rep AS representative, dups AS duplicate_count, sha256(text_key) AS key_sha256 FROM w WHERE gate = 'keep'""")
 def w01_exact_dedup(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text", F.lit("comment").alias("kind"))
     rows = C.cleaned(docs, "text", "kind", "doc_id").filter(F.col("reason").isin("keep", "exact_duplicate"))
-    return rows.select("doc_id", "representative", "duplicate_count", F.sha2("text_key", 256).alias("key_sha256"))
+    return rows.select("doc_id", "representative", "duplicate_count", "key_sha256")
 
 
 @query(f"""WITH s AS (SELECT conv_id, turn, CASE WHEN turn = 0 THEN 'comment' ELSE 'reply' END AS kind, text AS source_text, conv_id * 1000 + turn AS row_index FROM conversations),
@@ -207,7 +207,7 @@ def r06_count_map(spark, d):
     return mapped.select(F.explode("m").alias("role", "n"))
 
 
-@query("""SELECT conv_id, to_json({'conv_id': conv_id, 'turn': turn, 'role': role})::VARCHAR AS line FROM conversations WHERE turn < 2""")
+@query("""SELECT conv_id, to_json({'conv_id': conv_id, 'turn': turn, 'role': role})::VARCHAR AS line FROM conversations""")
 def r07_json_lines(spark, d):
-    turns = table(spark, d, "conversations").filter("turn < 2")
+    turns = table(spark, d, "conversations")
     return turns.select("conv_id", F.to_json(F.struct("conv_id", "turn", "role")).alias("line"))
