@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -47,6 +48,16 @@ def test_every_class_of_code_points(library, own):
     same(library, own, ["a" + chr(c) + " " + chr(c) + "1 " + chr(c) for c in rng.sample(points, 3000)] + [f"a{chr(c)}{chr(c)} b" for c in range(0x3100) if not 0xD800 <= c < 0xE000])
 
 
+def test_long_words(library, own):
+    """Words of more bytes than go through the rounds: equal to the library, a megabyte of letters within seconds."""
+    rng = random.Random(7)
+    letters = lambda n, alphabet="etaoinshrdlu": "".join(rng.choice(alphabet) for _ in range(n))
+    same(library, own, [letters(n) for n in (511, 512, 513, 600, 5000)] + ["a" * 4001, "ab" * 900, letters(700, "ab"), letters(3000, "日本東京語"), "short " + letters(2000) + " and " + letters(900) + " end"])
+    began = time.time()
+    same(library, own, [letters(1_000_000)])
+    assert time.time() - began < 60
+
+
 def test_table_starts_anew(library):
     same(library, small := bpe.Bpe(PATH, table=3), ["one two three four"])
     same(library, small, ["five six one two", "seven"])

@@ -8,8 +8,8 @@ from threadloom.llm import chat
 
 def expected(rows):
     convs = {}
-    for c, turn, role, text in rows:
-        convs.setdefault(c, []).append((turn is not None, turn or 0, role or "", text or ""))
+    for i, (c, turn, role, text) in enumerate(rows):
+        convs.setdefault((c, i) if c is None else c, []).append((turn is not None, turn or 0, role or "", text or ""))
     convs[-7] = [(True, i, r, "</s>[INST] ok [/INST]") for i, r in enumerate(["user", "assistant"])]
     out = {}
     for c, turns in convs.items():
@@ -74,8 +74,18 @@ def test_tree(spark):
             assert [(x["begin"], x["end"]) for x in by[starts[-1]]["ancestors"]] == spans
 
 
+def test_equal_conversations_are_one_path(spark):
+    """However many conversations are equal, the walk meets their path once, and each gets all its nodes."""
+    rows = [(c, turn, "user", f"t{turn}") for c in range(300) for turn in range(3)] + [(1000, 0, "user", "t0"), (1001, 0, "user", "other")]
+    nodes, paths = chat.prefix_tree(spark.createDataFrame(rows, SCHEMA), range_rows=1)
+    assert nodes.count() == 4 and paths.count() == 902
+    assert {tuple(r)[1:] for r in chat.report(spark.createDataFrame(rows, SCHEMA)).filter("conv_id BETWEEN 0 AND 299").collect()} == {expected(rows)[0]}
+
+
 def test_edges(spark):
     rows = [(None, 0, None, None), (None, None, "user", "a"), (1, 0, "user", "q"), (1, 0, "user", "q"), (2, 0, "user", "q"), (3, 0, "assistant", "z" * 200_000)]
     df = spark.createDataFrame(rows, SCHEMA)
-    assert {r["conv_id"]: tuple(r)[1:] for r in chat.report(df).collect()} == expected(rows)
+    found = [tuple(r) for r in chat.report(df).collect()]
+    assert {c: tuple(x) for c, *x in found if c is not None} == {c: x for c, x in expected(rows).items() if isinstance(c, int)}
+    assert sorted(x for c, *x in found if c is None) == sorted(list(x) for c, x in expected(rows).items() if not isinstance(c, int))
     assert [r["conv_id"] for r in chat.report(df.limit(0)).collect()] == [-7]

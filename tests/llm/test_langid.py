@@ -1,7 +1,9 @@
+import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 
 from tests.conftest import SF
 from threadloom.llm import langid
@@ -88,3 +90,24 @@ def test_edges(spark):
     assert langid.report(docs.limit(0), PATH).count() == 0
     kept = langid.keep_known(docs, PATH)
     assert kept.columns == docs.columns and kept.filter("doc_id in (1, 2, 3)").count() == 0
+
+
+def test_languages_without_spaces(spark):
+    """Sentences of more than 32 characters without a space are learned from, not dropped."""
+    rng = random.Random(2)
+    rows = [(i, "".join(rng.choice("日本語文章東京" if i % 2 else "العربيةكتاب") for _ in range(120)), "ja" if i % 2 else "ar") for i in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = langid.report(docs, PATH).filter("held_out").collect()
+    assert found and all(r["lang_pred"] == rows[r["doc_id"]][2] for r in found)
+
+
+def test_dirty_labels_are_refused(spark):
+    docs = spark.range(5000).selectExpr("id AS doc_id", "'a text' AS text", "concat('l', id) AS lang")
+    with pytest.raises(ValueError):
+        langid.train(docs, PATH)
+
+
+def test_a_score_of_the_users_own_stays(spark):
+    docs = spark.createDataFrame([(i, "the cat and the dog", "en", 7, "z") for i in range(9)], "doc_id long, text string, lang string, _score int, _lang_pred string")
+    kept = langid.keep_known(docs, PATH)
+    assert kept.columns == docs.columns and all(r["_score"] == 7 and r["_lang_pred"] == "z" for r in kept.collect())

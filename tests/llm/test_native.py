@@ -213,6 +213,20 @@ def test_sharding(spark):
     assert sharding.report(docs.limit(0)).count() == 0
 
 
+def test_sharding_goes_through_stored_maps(spark, monkeypatch):
+    """The query's maps are those that were written, and the balanced one follows the measured bytes: a slot full of long texts is evened out."""
+    rows = [(i, "x" * (20_000 if i % 97 == 0 else 50)) for i in range(2000)]
+    docs = docs_of(spark, rows)
+    first, grown, even = sharding.stored_maps(docs, 40)
+    assert (first, grown) == (sharding.SlotMap.initial(40), sharding.SlotMap.initial(40).grow())
+    sizes = {r["virtual_slot"]: r["bytes"] for r in sharding.slot_sizes(docs, "doc_id", "text").collect()}
+    assert even == first.rebalance(sizes) and sum(sizes.values()) == sum(len(t) + 16 for _, t in rows)
+    found = sharding.report(docs).collect()
+    load = lambda c: [sum(r["size"] for r in found if r[c] == s) for s in range(40)]
+    assert max(load("balanced_shard")) < max(load("shard"))
+    assert all(r["shard"] == first.shards[r["virtual_slot"]] and r["grown_shard"] == grown.shards[r["virtual_slot"]] for r in found)
+
+
 def test_slot_maps(spark, tmp_path):
     first = sharding.SlotMap.initial(40)
     grown = first.grow()
@@ -232,6 +246,72 @@ def test_slot_maps(spark, tmp_path):
         sharding.SlotMap.initial(0)
 
 
+def tokens_of(text):
+    """Runs of up to 16 characters whole; of longer runs, 8 characters from each place."""
+    out = []
+    for run in re.findall(r"[^ \t\n\x0b\f\r]+", text):
+        out += [run] if len(run) <= 16 else [run[i : i + 8] for i in range(len(run))]
+    return out
+
+
+def grams_of(tokens):
+    """The 64-bit hash of each three tokens, seeds chained, as signed numbers."""
+    out = []
+    for i in range(max(len(tokens) - winnow.K + 1, 1 if tokens else 0)):
+        h = 42
+        for x in tokens[i : i + winnow.K]:
+            h = xxhash.xxh64_intdigest(x.encode(), seed=h)
+        out.append(h - (1 << 64) if h >> 63 else h)
+    return out
+
+
+def chosen_of(text):
+    grams, out = grams_of(tokens_of(text)), {}
+    for s in range(max(1, len(grams) - winnow.W + 1) if grams else 0):
+        window = [x >> winnow.POSITION_BITS for x in grams[s : s + winnow.W]]
+        out[max(s + j for j, x in enumerate(window) if x == min(window))] = 0
+    return [grams[p] for p in sorted(out)]
+
+
+def alike(a, b):
+    a, b = set(chosen_of(a)), set(chosen_of(b))
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_winnowing_report(spark, seed):
+    """All columns against brute force, over spaced and unspaced, empty, null and equal texts."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefg") for _ in range(rng.randrange(1, 24)))
+    texts = [" ".join(word() for _ in range(rng.randrange(80))) for _ in range(20)] + ["".join(rng.choice("東京日本語文章") for _ in range(n)) for n in (5, 16, 17, 400)] + [None, "", " \n ", "a b c", "a b c"]
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    found = {r["doc_id"]: r for r in winnow.report(docs_of(spark, rows)).collect()}
+    for (i, t), (_, after) in zip(rows, rows[1:] + rows[:1]):
+        t, after, r = t or "", after or "", found[i]
+        m = len(t) // 4
+        edited = t[: len(t) - m] + after[:m]
+        shown = lambda x: "".join(f"{h & (2**64 - 1):016x}" for h in chosen_of(x))
+        assert (r["n_chars"], r["edited_sha256"], r["fingerprint"], r["edited_fingerprint"]) == (len(t), hashlib.sha256(edited.encode()).hexdigest(), shown(t), shown(edited))
+        assert r["near_edited"] == pytest.approx(alike(t, edited)) and r["near_next"] == pytest.approx(alike(t, after))
+
+
+def test_unspaced_text_shares_hashes_wherever_it_stands(spark):
+    """The guarantee without spaces: a shared passage of W + K + STEP - 2 characters gives a common hash, and one character put in front changes next to nothing."""
+    rng = random.Random(3)
+    han = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(n))
+    rows = []
+    for i in range(40):
+        shared = han(winnow.W + winnow.K + winnow.STEP - 2)
+        rows.append((i, han(20 + i) + shared + han(30), han(33 + 3 * i) + shared + han(25)))
+    long = han(6000)
+    rows.append((40, long, "x" + long))
+    df = winnow.with_selected(winnow.with_selected(spark.createDataFrame(rows, "i long, a string, b string"), "a", "x"), "b", "y")
+    x, y = winnow.hashes(F.col("x")), winnow.hashes(F.col("y"))
+    found = {r["i"]: r for r in df.select("i", F.size(F.array_intersect(x, y)).alias("n"), winnow.likeness(x, y).alias("s")).collect()}
+    assert all(r["n"] > 0 for r in found.values()) and found[40]["s"] > 0.99
+
+
 def test_winnowing_choices(spark):
     rng = random.Random(4)
     texts = ["", "a", "a b", "a a a a a a a a a a a a a a a a", "x" * 200] + [" ".join(rng.choice(["aa", "b", "cc", "d"]) for _ in range(rng.randrange(60))) for _ in range(30)]
@@ -239,14 +319,14 @@ def test_winnowing_choices(spark):
     both = winnow.with_selected(winnow.with_selected(df, "text", "all", w=1), "text", "chosen").collect()
     for r in both:
         grams = [x["hash"] for x in r["all"]]
-        tokens = re.findall(r"\S{1,12}", r["text"])
+        tokens = tokens_of(r["text"])
         assert [x["pos"] for x in r["all"]] == list(range(max(len(tokens) - winnow.K + 1, 1 if tokens else 0)))
         expected = {}
         for s in range(max(1, len(grams) - winnow.W + 1) if grams else 0):
-            window = grams[s : s + winnow.W]
-            least = min(x - (1 << 38) if x >> 37 else x for x in window)
-            pos = max(s + j for j, x in enumerate(window) if (x - (1 << 38) if x >> 37 else x) == least)
+            window = [x >> winnow.POSITION_BITS for x in grams[s : s + winnow.W]]
+            pos = max(s + j for j, x in enumerate(window) if x == min(window))
             expected[pos] = grams[pos]
+        assert grams == grams_of(tokens)
         assert [(x["pos"], x["hash"]) for x in r["chosen"]] == sorted(expected.items())
 
 

@@ -43,3 +43,11 @@ def test_report(spark):
         expected.append((k, len(data), hashlib.sha1(data).hexdigest(), kind, top if kind == "revisit" else None))
     assert found == sorted(expected, key=str)
     assert warc.report(spark, pages.limit(0)).count() == 0
+
+
+def test_keys_of_any_kind(spark):
+    """A key that is the text 'null', one with line breaks and quotes, and a null one come back as they were."""
+    rows = [("null", "u", "a"), (None, "u", "b"), ('x\r\ny: "z" é', "u", "c"), ("", "u", "d"), ("p", "u", "e" * 2000), ("q\n", "u", "e" * 2000)]
+    found = warc.report(spark, spark.createDataFrame(rows, "page_id string, url string, html string")).collect()
+    assert {r["page_id"] for r in found} == {r[0] for r in rows} and len(found) == len(rows)
+    assert {r["page_id"]: r["refers_to"] for r in found if r["record_type"] == "revisit"} == {"p": "q\n"}

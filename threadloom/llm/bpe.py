@@ -3,7 +3,9 @@
 The symbols of many words lie in one flat array with a word number beside each.
 A round looks every adjacent pair up by binary search over the sorted pair
 keys, finds each word's lowest rank, and merges that pair wherever it stands in
-the word, from left to right; words without a known pair leave the array. Texts
+the word, from left to right; words without a known pair leave the array. A word of
+more than ``ROUNDS_UP_TO`` bytes, which would take a round for each of its ranks, is merged
+by itself with a heap of its pairs, in the same order. Texts
 are cut into chunks before single spaces, which never lie inside a pre-token,
 so each worker encodes a distinct chunk once and keeps a bounded table of them.
 
@@ -17,6 +19,7 @@ an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import re
 from collections.abc import Iterator
@@ -31,6 +34,8 @@ from threadloom.llm.common import worker_cache
 
 #: Chunks that a worker keeps; beyond that its table starts anew.
 TABLE = 250_000
+#: Bytes of the longest word that goes through the rounds.
+ROUNDS_UP_TO = 512
 _PRE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 _NONE = np.iinfo(np.int64).max
 
@@ -64,6 +69,7 @@ class Bpe:
         order = np.argsort(keys, kind="stable")
         self.keys, self.rank, self.made = keys[order], order, made[order]
         self.of_rank = made
+        self.rank_of = dict(zip(keys.tolist(), range(len(keys))))
         size = max([*vocab.values(), *self.added.values()]) + 1
         self.bytes_of: list[bytes] = [b""] * size
         for token, i in vocab.items():
@@ -114,6 +120,27 @@ class Bpe:
         order = np.argsort(w, kind="stable")
         return s[order], w[order]
 
+    def merge_long(self, symbols: list[int]) -> list[int]:
+        """What ``merge`` makes of one word: the lowest rank first, the leftmost of equal ones, from a heap of (rank, place) in a linked list of symbols."""
+        n, rank_of, made = len(symbols), self.rank_of, self.of_rank.tolist()
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i) for i, pair in enumerate(zip(symbols, symbols[1:])) if (r := rank_of.get(pair[0] << 32 | pair[1])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            r, i = heapq.heappop(heap)
+            j = after[i]
+            if symbols[i] < 0 or j >= n or rank_of.get(symbols[i] << 32 | symbols[j]) != r:
+                continue  # one of the two has been merged since
+            symbols[i], symbols[j], after[i] = made[r], -1, after[j]
+            k = after[i]
+            if k < n:
+                before[k] = i
+                if (x := rank_of.get(symbols[i] << 32 | symbols[k])) is not None:
+                    heapq.heappush(heap, (x, i))
+            if (h := before[i]) >= 0 and (x := rank_of.get(symbols[h] << 32 | symbols[i])) is not None:
+                heapq.heappush(heap, (x, h))
+        return [x for x in symbols if x >= 0]
+
     def words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pre-tokens in ``texts``, flat, and the number of the text each belongs to."""
         pieces, owner = [], []
@@ -126,7 +153,17 @@ class Bpe:
         raw = [p.encode() for p in pieces]
         sizes = np.fromiter(map(len, raw), np.int64, len(raw))
         symbols = self.byte_id[np.frombuffer(b"".join(raw), np.uint8)]
-        ids, which = self.merge(symbols, np.repeat(np.arange(len(raw)), sizes))
+        which = np.repeat(np.arange(len(raw)), sizes)
+        long = np.flatnonzero(sizes > ROUNDS_UP_TO)
+        if len(long):
+            apart = np.isin(which, long)
+            alone = [np.array(self.merge_long(symbols[which == w].tolist()), np.int64) for w in long.tolist()]
+            ids, which = self.merge(symbols[~apart], which[~apart])
+            ids, which = np.concatenate([ids, *alone]), np.concatenate([which, np.repeat(long, [len(x) for x in alone])])
+            order = np.argsort(which, kind="stable")
+            ids, which = ids[order], which[order]
+        else:
+            ids, which = self.merge(symbols, which)
         return ids, np.array(owner, np.int64)[which]
 
     @staticmethod

@@ -17,11 +17,12 @@ The sort is spread over ranges of paths whose bounds come from a bounded sample
 of paths. What crosses a bound is small: a first pass reports for each range
 how much it emits and where its last path lies; the driver adds these up (a row
 per range); a second pass emits. A tree of any number of conversations is
-thereby split over ranges, and still no node is emitted twice. A conversation
-itself is one row.
+thereby split over ranges, and still no node is emitted twice. Equal
+conversations are one path, folded before the sort, so that however many there are
+the walk meets them once. A conversation itself is one row.
 
-Defined results: null roles and texts are empty; rows with a null id are one
-conversation; turns are ordered by (turn, role, text), nulls first, so repeated
+Defined results: null roles and texts are empty; a row with a null id is a
+conversation of its own, of one turn; turns are ordered by (turn, role, text), nulls first, so repeated
 rows are turns of their own; a conversation of which another is a prefix shares
 all its nodes; extra columns are ignored; an empty table gives no rows.
 """
@@ -105,17 +106,18 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 
 
 def conversations(rows: DataFrame) -> DataFrame:
-    """(conv_id, path, turns): a row per conversation."""
+    """(conv_id, alone, path, turns): a row per conversation; ``alone`` numbers those without an id."""
     turn = F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    each = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns")).select("conv_id", F.expr("transform(turns, t -> struct(t.role, t.text))").alias("turns"))
+    alone = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id())
+    each = rows.select("conv_id", alone.alias("alone"), turn.alias("each")).groupBy("conv_id", "alone").agg(F.sort_array(F.collect_list("each")).alias("turns")).select("conv_id", "alone", F.expr("transform(turns, t -> struct(t.role, t.text))").alias("turns"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             paths = [path_of([(t["role"], t["text"]) for t in turns]) for turns in b.column("turns").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("conv_id"), pa.array(paths, pa.binary()), b.column("turns")], names=["conv_id", "path", "turns"])
+            yield pa.RecordBatch.from_arrays([b.column("conv_id"), b.column("alone"), pa.array(paths, pa.binary()), b.column("turns")], names=["conv_id", "alone", "path", "turns"])
 
     kind = each.schema["conv_id"].dataType.simpleString()
-    return each.mapInArrow(run, f"conv_id {kind}, path binary, turns array<struct<role:string,text:string>>")
+    return each.mapInArrow(run, f"conv_id {kind}, alone long, path binary, turns array<struct<role:string,text:string>>")
 
 
 def prefix_tree(rows: DataFrame, range_rows: int = RANGE_ROWS) -> tuple[DataFrame, DataFrame]:
@@ -123,11 +125,11 @@ def prefix_tree(rows: DataFrame, range_rows: int = RANGE_ROWS) -> tuple[DataFram
 
     nodes: start, size, position, depth, segment, loss_begin, loss_size (the
     masked part of an assistant's segment, else 0), ancestors (intervals of the flat sequence).
-    paths: conv_id, depth and start of each node that the conversation passes.
+    paths: conv_id, alone, depth and start of each node that the conversation passes.
     """
-    convs, _ = materialise(conversations(rows), "conversations")
-    spark, total = convs.sparkSession, convs.count()
-    kind = convs.schema["conv_id"].dataType.simpleString()
+    each, _ = materialise(conversations(rows), "conversations")
+    convs, _ = materialise(each.groupBy("path").agg(F.first("turns").alias("turns")), "paths")  # equal paths have equal turns
+    total = convs.count()
     parts = max(1, -(-total // range_rows))
     share = min(1.0, SAMPLED * parts / max(total, 1))
     sampled = sorted(bytes(r[0]) for r in convs.filter(F.pmod(F.xxhash64("path"), F.lit(1_000_000)) < share * 1_000_000).select("path").collect()) if parts > 1 else []
@@ -143,12 +145,12 @@ def prefix_tree(rows: DataFrame, range_rows: int = RANGE_ROWS) -> tuple[DataFram
     ahead, before = {}, b""
     for r in sorted(last):
         ahead[r], before = before, last[r]
-    in_order = placed.repartition("range").sortWithinPartitions("range", "path", "conv_id")
+    in_order = placed.repartition("range").sortWithinPartitions("range", "path")
 
     def walk(batches: Iterator[pa.RecordBatch], base: dict[int, int], inherited: dict[int, list[tuple[int, int]]]):
-        """For each conversation in order: (range, conv_id, turns, nodes on its path as (start, end), how many of them are old)."""
+        """For each path in order: (range, path, formatted turns, turns, nodes on it as (start, end), how many of them are old, the next free place)."""
         here, free, path, nodes = None, 0, b"", []
-        for r, conv_id, p, turns in _rows(batches):
+        for r, p, turns in _rows(batches):
             if r != here:
                 here, free, path, nodes = r, base.get(r, 0), ahead[r], list(inherited.get(r, []))
             p = bytes(p)
@@ -159,7 +161,7 @@ def prefix_tree(rows: DataFrame, range_rows: int = RANGE_ROWS) -> tuple[DataFram
                 nodes.append((free, free + len(s)))
                 free += len(s)
             path = p
-            yield r, conv_id, made, turns, nodes, old, free
+            yield r, p, made, turns, nodes, old, free
 
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """How much each range emits and where the nodes of its last path are; an inherited node is (-1, its depth)."""
@@ -178,22 +180,23 @@ def prefix_tree(rows: DataFrame, range_rows: int = RANGE_ROWS) -> tuple[DataFram
         free += r["size"]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["kind", "conv_id", "depth", "start", "size", "position", "segment", "loss_begin", "loss_size", "ancestors"]
-        types = [pa.int32(), conv_type[0], pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))]
+        names = ["kind", "path", "starts", "depth", "start", "size", "position", "segment", "loss_begin", "loss_size", "ancestors"]
+        types = [pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))]
 
         def batch(out: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), types)], names=names)
 
         out, held = [], 0
-        for _, conv_id, made, turns, nodes, old, _ in walk(batches, base, inherited):
-            position = 0
-            for depth, ((text, begin, size), turn, (a, b)) in enumerate(zip(made, turns, nodes)):
-                out.append((1, conv_id, depth, a, None, None, None, None, None, None))
-                if depth >= old:
-                    loss = (begin, size) if turn["role"] == ASSISTANT else (0, 0)
-                    spans = [{"begin": x, "end": y} for x, y in merged(nodes[:depth])]
-                    out.append((0, None, depth, a, b - a, position, text, *loss, spans))
-                    held += len(text) + 16 * len(spans)
+        for _, path, made, turns, nodes, old, _ in walk(batches, base, inherited):
+            out.append((1, path, [a for a, _ in nodes], None, None, None, None, None, None, None, None))
+            held += 24 * len(nodes)
+            position = sum(b - a for a, b in nodes[:old])
+            for depth in range(old, len(made)):
+                (text, begin, size), (a, b) = made[depth], nodes[depth]
+                loss = (begin, size) if turns[depth]["role"] == ASSISTANT else (0, 0)
+                spans = [{"begin": x, "end": y} for x, y in merged(nodes[:depth])]
+                out.append((0, None, None, depth, a, b - a, position, text, *loss, spans))
+                held += len(text) + 16 * len(spans)
                 position += b - a
             if len(out) > 5_000 or held > 4_000_000:
                 yield batch(out)
@@ -201,18 +204,16 @@ def prefix_tree(rows: DataFrame, range_rows: int = RANGE_ROWS) -> tuple[DataFram
         if out:
             yield batch(out)
 
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    conv_type = [to_arrow_type(convs.schema["conv_id"].dataType)]
-    both, _ = materialise(in_order.mapInArrow(emit, f"kind int, conv_id {kind}, depth int, start long, size int, position long, segment string, loss_begin int, loss_size int, ancestors array<struct<begin:long,end:long>>"), "tree")
-    nodes = both.filter("kind = 0").drop("kind", "conv_id")
-    return nodes, both.filter("kind = 1").select("conv_id", "depth", "start")
+    both, _ = materialise(in_order.mapInArrow(emit, "kind int, path binary, starts array<long>, depth int, start long, size int, position long, segment string, loss_begin int, loss_size int, ancestors array<struct<begin:long,end:long>>"), "tree")
+    nodes = both.filter("kind = 0").drop("kind", "path", "starts")
+    passed = each.select("conv_id", "alone", "path").join(both.filter("kind = 1").select("path", "starts"), "path")
+    return nodes, passed.select("conv_id", "alone", F.posexplode("starts").alias("depth", "start"))
 
 
 def read_back(nodes: DataFrame, paths: DataFrame) -> DataFrame:
     """(conv_id, formatted, losses): each conversation's text put together from the tree, and its masked parts still escaped."""
     part = F.struct("depth", "segment", F.expr("substring(segment, loss_begin + 1, loss_size)").alias("loss"), (F.col("loss_begin") > 0).alias("masked"))
-    whole = paths.join(nodes.select("start", "segment", "loss_begin", "loss_size"), "start").groupBy("conv_id").agg(F.sort_array(F.collect_list(part)).alias("parts"))
+    whole = paths.join(nodes.select("start", "segment", "loss_begin", "loss_size"), "start").groupBy("conv_id", "alone").agg(F.sort_array(F.collect_list(part)).alias("parts"))
     return whole.select("conv_id", F.expr("array_join(transform(parts, p -> p.segment), '')").alias("formatted"), F.expr("transform(filter(parts, p -> p.masked), p -> p.loss)").alias("losses"))
 
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import lower_ascii
+from threadloom.llm.common import lower_ascii, unused
 
 N = 8
 #: A benchmark of more distinct windows than this is joined by shuffle instead of being broadcast.
@@ -52,33 +52,50 @@ def scan(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", tex
 
     docs = documents.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), words_of(F.col(text_col)).alias("w"))
     docs = docs.select("id", "text_hash", "w", F.size("w").alias("n_words"), F.transform("w", lambda w: F.xxhash64(w)).alias("h"))
-    # position -1 stands for the document itself, so that one without hits keeps its row
-    at = docs.select("id", "text_hash", "n_words", "w", "h", F.explode(F.sequence(F.lit(-1), F.col("n_words") - 1)).alias("at"))
 
     def window_hash(size: int) -> Column:
         parts = [F.get("h", F.col("at") + i) for i in range(size)]
         return F.when((F.col("at") >= 0) & (F.col("at") + size <= F.col("n_words")), F.xxhash64(F.array(*parts)))
 
-    if list(sizes) in ([], [n]):
-        probes = at.select("*", F.lit(n).alias("len"), window_hash(n).alias("hash"))
-    else:
+    def probes(at: DataFrame) -> DataFrame:
+        if list(sizes) in ([], [n]):
+            return at.select("*", F.lit(n).alias("len"), window_hash(n).alias("hash"))
         each = F.array(*[F.struct(F.lit(s).alias("len"), window_hash(s).alias("hash")) for s in sorted(sizes)])
-        probes = at.select("*", F.inline(each)).filter((F.col("at") < 0) | F.col("hash").isNotNull())
+        return at.select("*", F.inline(each)).filter((F.col("at") < 0) | F.col("hash").isNotNull())
+
     build = wanted.select(F.col("len").alias("b_len"), F.col("hash").alias("b_hash"), F.col("words").alias("b_words"), "items")
-    hit = probes.join(F.broadcast(build) if small else build, (F.col("hash") == F.col("b_hash")) & (F.col("len") == F.col("b_len")), "left")
-    hit = hit.select("id", "text_hash", "n_words", "at", "len", "items", F.coalesce(F.slice("w", F.greatest(F.col("at") + 1, F.lit(1)), F.col("len")) == F.col("b_words"), F.lit(False)).alias("ok")).filter((F.col("at") < 0) | F.col("ok"))
+    met = (F.col("hash") == F.col("b_hash")) & (F.col("len") == F.col("b_len"))
+    same = F.coalesce(F.slice("w", F.greatest(F.col("at") + 1, F.lit(1)), F.col("len")) == F.col("b_words"), F.lit(False))
+    found = [
+        F.sort_array(F.collect_set(F.when(F.col("ok"), F.struct(F.col("at").alias("at"), F.col("len").alias("len"))))).alias("spans"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_set(F.when(F.col("ok"), F.col("items")))))).alias("items"),
+    ]
+    if not small:
+        return _shuffled(docs, probes, build, met, same, found)
+    # position -1 stands for the document itself, so that one without hits keeps its row
+    at = docs.select("id", "text_hash", "n_words", "w", "h", F.explode(F.sequence(F.lit(-1), F.col("n_words") - 1)).alias("at"))
+    hit = probes(at).join(F.broadcast(build), met, "left")
+    hit = hit.select("id", "text_hash", "n_words", "at", "len", "items", same.alias("ok")).filter((F.col("at") < 0) | F.col("ok"))
     # equal rows fall into one group; the marks of position -1 count them
     marks = 1 if list(sizes) in ([], [n]) else len(sizes)
-    span = F.when(F.col("ok"), F.struct(F.col("at").alias("at"), F.col("len").alias("len")))
-    grouped = hit.groupBy("id", "text_hash").agg(
-        F.max("n_words").alias("n_words"),
-        (F.count_if(F.col("at") < 0) / marks).cast("int").alias("copies"),
-        F.sort_array(F.collect_set(span)).alias("spans"),
-        F.sort_array(F.array_distinct(F.flatten(F.collect_set(F.when(F.col("ok"), F.col("items")))))).alias("items"),
-    )
+    grouped = hit.groupBy("id", "text_hash").agg(F.max("n_words").alias("n_words"), (F.count_if(F.col("at") < 0) / marks).cast("int").alias("copies"), *found)
     return grouped.select("id", "text_hash", "n_words", "spans", "items", F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("_")).drop("_")
 
 
+def _shuffled(docs: DataFrame, probes, build: DataFrame, met: Column, same: Column, found: list[Column]) -> DataFrame:
+    """``scan`` against a benchmark too large to broadcast: what moves per position is (id, text hash, place, window hash), no words; those are fetched for documents with a hit."""
+    one = docs.select("id", "text_hash", "n_words", "h", F.explode(F.sequence(F.lit(0), F.greatest(F.col("n_words") - 1, F.lit(0)))).alias("at"))
+    narrow = probes(one).select("id", "text_hash", "at", "len", "hash").filter("hash IS NOT NULL")
+    hits = narrow.join(build, met).select("id", "text_hash", "at", "len", "b_words", "items").distinct()
+    key = F.xxhash64("id")
+    keyed = hits.select("*", key.alias("k")).drop("id")
+    texts = docs.select(key.alias("k"), "text_hash", "w").join(keyed.select("k", "text_hash").distinct(), ["k", "text_hash"], "left_semi").dropDuplicates(["k", "text_hash"])
+    verified = keyed.join(texts, ["k", "text_hash"]).select("k", "text_hash", "at", "len", "items", same.alias("ok")).groupBy("k", "text_hash").agg(*found)
+    rows = docs.select("id", key.alias("k"), "text_hash", "n_words").join(verified, ["k", "text_hash"], "left")
+    none = F.array()
+    return rows.select("id", "text_hash", "n_words", F.coalesce("spans", none.cast("array<struct<at:int,len:int>>")).alias("spans"), F.coalesce("items", none.cast("array<string>")).alias("items"))
+
+
 def covered(spans: Column) -> Column:
     """How many words lie inside any of the ordered spans."""
     start = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("total"))
@@ -102,8 +119,9 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, mode: str = "docum
     ``drop_items``, it drops documents with windows of at least so many items
     and cuts the others.
     """
-    found = scan(documents, benchmark, id_col, text_col, **names).filter(F.size("items") >= min_items).select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("spans").alias("_spans"), F.size("items").alias("_items")).dropDuplicates(["_id", "_hash"])
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_hash"))
+    i, h, s, m = (unused(documents.columns, c) for c in ("id", "hash", "spans", "items"))
+    found = scan(documents, benchmark, id_col, text_col, **names).filter(F.size("items") >= min_items).select(F.col("id").alias(i), F.col("text_hash").alias(h), F.col("spans").alias(s), F.size("items").alias(m)).dropDuplicates([i, h])
+    same = F.col(id_col).eqNullSafe(F.col(i)) & (F.xxhash64(text_col) == F.col(h))
     if mode == "documents":
         return documents.join(found, same, "left_anti")
     if mode != "spans":
@@ -112,12 +130,12 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, mode: str = "docum
     word = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
     pieces = F.regexp_extract_all(F.col(text_col), F.lit(f"{word}[^0-9A-Za-z\\x{{80}}-\\x{{10FFFF}}]*"), F.lit(0))
     head = F.regexp_extract(F.col(text_col), r"^[^0-9A-Za-z\x{80}-\x{10FFFF}]*", 0)
-    inside = lambda i: F.exists("_spans", lambda s: (i >= s["at"]) & (i < s["at"] + s["len"]))
-    kept = F.concat(head, F.array_join(F.filter(pieces, lambda x, i: ~inside(i)), ""))
+    inside = lambda at: F.exists(s, lambda x: (at >= x["at"]) & (at < x["at"] + x["len"]))
+    kept = F.concat(head, F.array_join(F.filter(pieces, lambda _, at: ~inside(at)), ""))
     joined = documents.join(found, same, "left")
     if drop_items is not None:
-        joined = joined.filter(F.coalesce(F.col("_items") < drop_items, F.lit(True)))
-    joined = joined.withColumn(text_col, F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(kept))
+        joined = joined.filter(F.coalesce(F.col(m) < drop_items, F.lit(True)))
+    joined = joined.withColumn(text_col, F.when(F.col(s).isNull(), F.col(text_col)).otherwise(kept))
     return joined.select(*documents.columns)
 
 

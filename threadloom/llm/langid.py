@@ -35,7 +35,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import materialise, remove, worker_cache
+from threadloom.llm.common import materialise, remove, unused, worker_cache
 
 SAMPLE_ROWS = 6_000
 ROUNDS = 2
@@ -46,6 +46,10 @@ UNKNOWN = 1e-7
 TABLE = 300_000
 #: Longer words are rescaled on their way and take the passes one at a time.
 LONG = 32
+#: Characters of the parts that longer words are cut into for fitting.
+CUT = 24
+#: More labels than this are no languages but dirt: fitting refuses them.
+MOST_LANGUAGES = 1_000
 #: Bytes of text that are scored together.
 SLICE = 4_000_000
 MARK = "▁"
@@ -63,11 +67,12 @@ class Model:
 
 
 def pieces(path: str) -> dict[str, int]:
-    """Number of each ordinary piece of a sentencepiece file; control, unknown and byte pieces are left out."""
+    """Number of each ordinary piece of a sentencepiece file; control, unknown and byte pieces, and those of LONG or more characters, are left out."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     names = [sp.id_to_piece(i) for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
+    names = [name for name in names if len(name) < LONG and "\n" not in name]
     return {name: i for i, name in enumerate(names)}
 
 
@@ -130,8 +135,7 @@ def _extended(p: np.ndarray) -> np.ndarray:
 def automaton_of(vocabulary: dict[str, int]) -> ahocorasick.Automaton:
     found = ahocorasick.Automaton(ahocorasick.STORE_INTS)
     for piece, n in vocabulary.items():
-        if len(piece) < 32 and "\n" not in piece:
-            found.add_word(piece, n << 5 | len(piece))
+        found.add_word(piece, n << 5 | len(piece))
     found.make_automaton()
     return found
 
@@ -184,7 +188,9 @@ def held_out(id_column: Column) -> Column:
 def train(documents: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS, rounds: int = ROUNDS) -> Model:
     """A model from the labelled rows that aren't held out. Runs a few actions; what reaches the driver is bounded by vocabulary times languages."""
     labelled = documents.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).filter(F.col("lang").isNotNull() & ~held_out(F.col("id")))
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()}
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"{lang_col} has more than {MOST_LANGUAGES} different values")
     languages = tuple(sorted(counts))
     known = _pieces(vocabulary)[0]
     if not languages:
@@ -194,7 +200,11 @@ def train(documents: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
     for lang in languages:
         share = F.when(F.col("lang") == lang, F.lit(quota / counts[lang])).otherwise(share)
     sample = labelled.filter(F.pmod(F.xxhash64(F.lit("sample"), "id"), F.lit(1_000_000)) < share * 1_000_000).select("lang", "text")
-    words = sample.select("lang", F.explode(F.split(F.lower("text"), r"(?U)\s+")).alias("word")).filter((F.col("word") != "") & (F.char_length("word") < LONG))
+    words = sample.select("lang", F.explode(F.split(F.lower("text"), r"(?U)\s+")).alias("word")).filter(F.col("word") != "")
+    # longer words, such as sentences without spaces, are cut; what crosses a cut isn't counted, all else is
+    cut = F.regexp_extract_all("word", F.lit(rf"(?s).{{1,{CUT}}}"), F.lit(0))
+    marked = F.transform(cut, lambda x, i: F.when(i == 0, F.concat(F.lit(MARK), x)).otherwise(x))
+    words = words.select("lang", F.explode(F.when(F.char_length("word") < LONG, F.array(F.concat(F.lit(MARK), "word"))).otherwise(marked)).alias("word"))
     words = words.groupBy("word").agg(*[F.count_if(F.col("lang") == lang).cast("double").alias(f"n{i}") for i, lang in enumerate(languages)])
     table, path = materialise(words, "words")
     spark, n_lang = documents.sparkSession, len(languages)
@@ -210,7 +220,7 @@ def train(documents: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
             q, total = shared.value, np.zeros((len(vocab), n_lang))
             for b in batches:
                 weights = np.stack([b.column(f"n{i}").to_numpy() for i in range(n_lang)], axis=1)
-                total += expected([MARK + w for w in b.column("word").to_pylist()], weights, vocab, automaton, q)
+                total += expected(b.column("word").to_pylist(), weights, vocab, automaton, q)
             piece, lang = np.nonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(piece, pa.int32()), pa.array(lang, pa.int32()), pa.array(total[piece, lang])], names=["piece", "lang", "uses"])
 
@@ -288,8 +298,9 @@ def identify(df: DataFrame, model: Model, text_col: str = "text", lang_out: str
 
 def keep_known(documents: DataFrame, vocabulary: str, least: float = 0.5, **columns) -> DataFrame:
     """``documents`` without those that are ``und`` or whose language scores under ``least``."""
-    found = identify(documents, train(documents, vocabulary, **columns), columns.get("text_col", "text"), "_lang_pred", "_score")
-    return found.filter((F.col("_lang_pred") != UNDETERMINED) & (F.col("_score") >= least)).select(*documents.columns)
+    lang, score = unused(documents.columns, "lang_pred"), unused(documents.columns, "score")
+    found = identify(documents, train(documents, vocabulary, **columns), columns.get("text_col", "text"), lang, score)
+    return found.filter((F.col(lang) != UNDETERMINED) & (F.col(score) >= least)).select(*documents.columns)
 
 
 def report(documents: DataFrame, vocabulary: str) -> DataFrame:

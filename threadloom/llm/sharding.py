@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from threadloom.llm.common import new_path, remove
+
 SLOTS = 4096
 OVERHEAD = 16
 #: A slot's rows are numbered in this many parts, so that a key that holds many rows is no single task.
@@ -117,18 +119,31 @@ def slot_sizes(df: DataFrame, key_col: str, text_col: str, slots: int = SLOTS) -
     return df.groupBy(slot_of(F.col(key_col), slots).alias("virtual_slot")).agg(F.count("*").alias("rows"), F.sum(record_size(F.col(text_col))).alias("bytes"))
 
 
+def stored_maps(documents: DataFrame, n_shards: int, key_col: str = "doc_id", text_col: str = "text") -> tuple[SlotMap, SlotMap, SlotMap]:
+    """The first map, the one grown by a shard, and the first edited after the bytes that ``documents`` have in each slot; each written to a map store in the shared folder and read back."""
+    spark, store = documents.sparkSession, new_path(documents.sparkSession, "slot-maps")
+    first = SlotMap.initial(n_shards)
+    sizes = {r["virtual_slot"]: r["bytes"] for r in slot_sizes(documents, key_col, text_col).collect()}  # a row per slot
+    even = first.rebalance(sizes)
+    for name, x in (("first", first), ("grown", first.grow()), ("even", even)):
+        x.save(spark, f"{store}/{name}")
+    out = [SlotMap.load(spark, f"{store}/{name}", version) for name, version in (("first", first.version), ("grown", first.version + 1), ("even", even.version))]
+    remove(spark, store)
+    return tuple(out)
+
+
 def report(documents: DataFrame, n_shards: int = 40) -> DataFrame:
-    """The columns that query op5 returns, under the law ``key``.
+    """The columns that query op5 returns, under the law ``key``; beside them the virtual slot, and the shard under a map that was rebalanced after the measured bytes per slot.
 
     ``slot`` is the row's position in its shard: equal rows are folded
     first, each part of a virtual slot is numbered on its own, and a table of
     counts per part, of at most SLOTS * PARTS rows, gives where each begins.
     """
-    first = SlotMap.initial(n_shards)
+    first, grown, even = stored_maps(documents, n_shards)
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
     rows = documents.select("doc_id", record_size(F.col("text")).alias("size"), crc.alias("text_crc32"))
     each = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("copies"))
-    each = assign(each, "doc_id", first, first.grow()).withColumn("part", F.pmod(F.col("text_crc32"), F.lit(PARTS)).cast("int"))
+    each = assign(each, "doc_id", first, grown).withColumn("balanced_shard", even.shard_of(F.col("virtual_slot"))).withColumn("part", F.pmod(F.col("text_crc32"), F.lit(PARTS)).cast("int"))
     counts = each.groupBy("shard", "virtual_slot", "part").agg(F.sum("copies").alias("rows"))
     order = ["virtual_slot", "part"]
     before = Window.partitionBy("shard").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
@@ -145,4 +160,5 @@ def report(documents: DataFrame, n_shards: int = 40) -> DataFrame:
         F.explode(F.sequence(start, start + F.col("copies") - 1)).alias("slot"),
         "grown_shard",
         "virtual_slot",
+        "balanced_shard",
     )

@@ -27,6 +27,7 @@ import base64
 import gzip
 import hashlib
 import io
+import json
 import re
 import uuid
 from collections.abc import Iterator
@@ -205,8 +206,8 @@ def write_archives(pages: DataFrame, folder: str, key_col: str = "page_id", url_
                     name = f"{root}/pages-{task.partitionId():06d}-{number:04d}.warc.gz"
                     temporary = f"{name}.{uuid.uuid4().hex}.tmp"
                     out, number = [fs.open_output_stream(temporary, compression=None), temporary, name, 0, 0], number + 1
-                key = "null" if key.as_py() is None else key.as_py()
-                data = convert(arc_of(key, url.as_py(), payload.as_py().encode(), 1 + out[3] % 2), key, refers_to.as_py())
+                key, to = json.dumps(key.as_py()), refers_to.as_py()  # one line, and a null is no string
+                data = convert(arc_of(key, url.as_py(), payload.as_py().encode(), 1 + out[3] % 2), key, None if to is None else json.dumps(to))
                 member = gzip.compress(data, 4, mtime=0)
                 out[0].write(member)
                 out[3], out[4] = out[3] + 1, out[4] + len(member)
@@ -250,7 +251,8 @@ def read_archives(listed: DataFrame, folder: str) -> DataFrame:
                             size = int(re.search(rb"Content-Length: (\d+)", head)[1])
                         elif hashlib.sha1(payload).hexdigest() != digest:
                             raise ValueError(f"a payload that isn't its digest's: {h['WARC-Record-ID']}")
-                        out.append((h.get("Key"), h["WARC-Target-URI"], h["WARC-Date"], size, digest, h["WARC-Type"], h.get("Key-Of-Referred")))
+                        key, to = (json.loads(h.get(x, "null")) for x in ("Key", "Key-Of-Referred"))
+                        out.append((key, h["WARC-Target-URI"], h["WARC-Date"], size, digest, h["WARC-Type"], to))
                         if len(out) == 5_000:
                             yield batch(out)
                             out = []
@@ -268,5 +270,4 @@ def report(spark: SparkSession, pages: DataFrame) -> DataFrame:
         folder = f"file://{folder}"
     kind = pages.schema["page_id"].dataType
     back = read_archives(write_archives(pages, folder), folder)
-    key = lambda c: F.when(F.col(c) != "null", F.col(c)).cast(kind)
-    return back.select(key("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", key("refers_to").alias("refers_to"))
+    return back.select(F.col("key").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))

@@ -1,15 +1,18 @@
 """Document fingerprints by winnowing.
 
-Native: DataFrame functions only. A text becomes tokens (runs without white
-space, cut every ``TOKEN`` characters so that unspaced text has tokens too); a k-gram is ``K`` tokens in a
+Native: DataFrame functions only. A text becomes tokens: a run of up to ``TOKEN``
+characters without white space is one, and in a longer run, such as text that is
+written without spaces, each character starts one, of ``STEP`` characters or what is left of the run. No token depends on where
+a run began, so what is put in front shifts the tokens and changes none. A k-gram is ``K`` tokens in a
 row and its hash 64 bits. Of each window of ``W`` consecutive k-grams the
 smallest hash is chosen, the rightmost of equal ones, and kept with its
 position. So any run of ``W + K - 1`` tokens that two texts share gives both at
-least one common fingerprint hash, and shared runs under ``K`` tokens give none.
+least one common fingerprint hash, and shared runs under ``K`` tokens give none; in a run without spaces, a shared
+passage of ``W + K + STEP - 2`` characters holds so many tokens.
 
-A k-gram's hash is compared by its upper ``64 - POSITION_BITS`` bits with the
+The smallest hash is found by the upper ``64 - POSITION_BITS`` bits with the
 position below them in one long, which makes the choice of the rightmost an
-integer minimum; texts may have up to 2^26 tokens.
+integer minimum; the chosen hash itself is kept whole. Texts may have up to 2^26 tokens.
 
 Defined results: a null text is empty; a text without tokens has no
 fingerprint hashes, and two such texts are alike (1.0); fewer tokens than ``K``
@@ -24,11 +27,15 @@ import json
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-K, W, TOKEN = 3, 8, 12
+from threadloom.llm.common import unused
+
+K, W, TOKEN, STEP = 3, 8, 16, 8
 POSITION_BITS = 26
-#: Rows per range of ids; a range is what one task sorts to find each row's successor.
-RANGE_ROWS = 2_000
-_PIECE = rf"\S{{1,{TOKEN}}}"
+#: Rows per range of ids, which one task sorts to find each row's successor; ranges grow once there would be more than MOST_RANGES.
+RANGE_ROWS, MOST_RANGES = 500, 50_000
+_SHORT = rf"(?<!\S)\S{{1,{TOKEN}}}+(?!\S)"
+#: Looks at a token and takes it whole if it is a run, else its first character.
+_PIECE = rf"(?=({_SHORT}|\S{{1,{STEP}}}))(?:{_SHORT}|\S)"
 
 
 def with_selected(df: DataFrame, text_col: str, name: str, k: int = K, w: int = W) -> DataFrame:
@@ -43,19 +50,21 @@ def with_selected(df: DataFrame, text_col: str, name: str, k: int = K, w: int =
     def moved(name: str, by: int) -> Column:
         return F.slice(name, by + 1, F.greatest(F.size(name), F.lit(1)))
 
-    out = df.withColumn("_t", F.regexp_extract_all(F.coalesce(text_col, F.lit("")), F.lit(_PIECE), F.lit(0)))
-    gram = lambda x, i: F.xxhash64(x, *[F.get("_t", i + j) for j in range(1, k)])  # noqa: E731  past the end are nulls, which it skips
-    packed = F.transform("_t", lambda x, i: gram(x, i).bitwiseAND(F.lit(~low)).bitwiseOR(F.lit(low) - i))
-    out = out.withColumn("_g", packed)
-    out = out.withColumn("_m", F.slice("_g", 1, F.greatest(F.size("_g") - (k - 1), F.lit(1))))
-    out, width = out.withColumn("_n", F.size("_m")), 1
+    t, h, g, m, n = (unused([*df.columns, name], c) for c in "thgmn")
+    out = df.withColumn(t, F.regexp_extract_all(F.coalesce(text_col, F.lit("")), F.lit(_PIECE), F.lit(1)))
+    gram = lambda x, i: F.xxhash64(x, *[F.get(t, i + j) for j in range(1, k)])  # noqa: E731  past the end are nulls, which it skips
+    out = out.withColumn(h, F.transform(t, gram))
+    out = out.withColumn(g, F.transform(h, lambda x, i: x.bitwiseAND(F.lit(~low)).bitwiseOR(F.lit(low) - i)))
+    out = out.withColumn(m, F.slice(g, 1, F.greatest(F.size(g) - (k - 1), F.lit(1))))
+    out, width = out.withColumn(n, F.size(m)), 1
     while width < w:
         step = min(width, w - width)
-        out = out.withColumn("_m", F.zip_with("_m", moved("_m", step), lambda a, b: F.least(a, b)))
+        out = out.withColumn(m, F.zip_with(m, moved(m, step), lambda a, b: F.least(a, b)))
         width += step
-    chosen = F.when(F.col("_n") > 0, F.array_distinct(F.slice("_m", 1, F.greatest(F.col("_n") - (w - 1), F.lit(1))))).otherwise(none)
-    unpacked = F.transform(chosen, lambda x: F.struct((F.lit(low) - x.bitwiseAND(F.lit(low))).alias("pos"), F.shiftrightunsigned(x, POSITION_BITS).alias("hash")))
-    return out.withColumn(name, unpacked).drop("_t", "_g", "_m", "_n")
+    chosen = F.when(F.col(n) > 0, F.array_distinct(F.slice(m, 1, F.greatest(F.col(n) - (w - 1), F.lit(1))))).otherwise(none)
+    at = lambda x: (F.lit(low) - x.bitwiseAND(F.lit(low))).cast("int")
+    unpacked = F.transform(chosen, lambda x: F.struct(at(x).alias("pos"), F.get(h, at(x)).alias("hash")))
+    return out.withColumn(name, unpacked).drop(t, h, g, m, n)
 
 
 def hashes(chosen: Column) -> Column:
@@ -78,18 +87,19 @@ def with_next(rows: DataFrame, id_col: str, hash_col: str, carry: list[str], pre
     row of the range that follows it, so its own last row finds a successor
     there. Null ids come first, spread over ranges by text hash; equal ids are
     ordered by text hash. ``prepare`` adds columns to rows once they are chosen,
-    before they move. Runs one action over the ids; at most 10,000 ranges.
+    before they move. Runs one action over the ids.
     """
     n = rows.select(id_col).count()
-    parts = max(1, min(10_000, -(-n // range_rows)))
+    parts = max(1, min(MOST_RANGES, -(-n // range_rows)))
+    few = max(1, round(parts**0.5))
     cuts: list[int] = []
     if parts > 1:
         cuts = sorted(set(rows.agg(F.percentile_approx(id_col, [i / parts for i in range(1, parts)], 10 * parts)).first()[0] or []))
-    # two levels of a hundred cuts each, so that a row is compared with few of them
-    nested = F.from_json(F.lit(json.dumps([cuts[i : i + 100] for i in range(0, len(cuts), 100)])), "array<array<bigint>>")
-    firsts = F.from_json(F.lit(json.dumps(cuts[::100])), "array<bigint>")
+    # two levels of cuts, so that a row is compared with few of them
+    nested = F.from_json(F.lit(json.dumps([cuts[i : i + few] for i in range(0, len(cuts), few)])), "array<array<bigint>>")
+    firsts = F.from_json(F.lit(json.dumps(cuts[::few])), "array<bigint>")
     group = F.size(F.filter(firsts, lambda c: c <= F.col(id_col)))
-    range_of = F.when(group == 0, 0).otherwise((group - 1) * 100 + F.size(F.filter(F.get(nested, group - 1), lambda c: c <= F.col(id_col))))
+    range_of = F.when(group == 0, 0).otherwise((group - 1) * few + F.size(F.filter(F.get(nested, group - 1), lambda c: c <= F.col(id_col))))
     spread = F.shiftrightunsigned(F.col(hash_col).bitwiseXOR(F.lit(-(1 << 63))), 32) * parts
     null_range = F.shiftright(spread, 32) - parts
     ranged = rows.withColumn("_range", F.when(F.col(id_col).isNull(), null_range).otherwise(range_of))
@@ -108,8 +118,8 @@ def with_next(rows: DataFrame, id_col: str, hash_col: str, carry: list[str], pre
 
 
 def fingerprint_text(found: Column) -> Column:
-    """A fingerprint as text: its hashes by position, ten hexadecimal digits each."""
-    return F.lower(F.array_join(F.transform(found, lambda x: F.lpad(F.hex(x), 10, "0")), ""))
+    """A fingerprint as text: its hashes by position, sixteen hexadecimal digits each."""
+    return F.lower(F.array_join(F.transform(found, lambda x: F.lpad(F.hex(x), 16, "0")), ""))
 
 
 def report(documents: DataFrame) -> DataFrame:
