@@ -17,14 +17,16 @@ from threadloom.functions import text as T
 from threadloom.operators import cleaning as C
 from threadloom.operators import clustering as M
 from threadloom.operators import evaluation as E
+from threadloom.operators import languages as L
 from threadloom.operators import profiling as P
 from threadloom.operators import reassignment as A
 from threadloom.operators import splitting as W
 from threadloom.operators import topics as O
+from threadloom.operators import validation as X
 from threadloom.operators import vectors as V
-from threadloom.plans import models, topics
+from threadloom.plans import checks, models, topics
 from threadloom.plans.runner import Runner, Snapshot
-from threadloom.sources import api, jsonl, sinks
+from threadloom.sources import api, jsonl, shared, sinks
 from threadloom.streaming import ingest
 
 
@@ -160,13 +162,55 @@ def test_assignment_is_optimal():
         assert len(found) == min(n, m) and sum(cost[i, j] for i, j in found) == best
 
 
+def prim(points, k):
+    """Edges of the minimum spanning tree of mutual reachability, all distances compared."""
+    d = np.sqrt(((points[:, None] - points[None]) ** 2).sum(axis=2))
+    reach = np.maximum(np.maximum(d, np.sort(d, axis=1)[:, k][:, None]), np.sort(d, axis=1)[:, k][None])
+    inside, edges = [0], []
+    while len(inside) < len(points):
+        outside = [i for i in range(len(points)) if i not in inside]
+        part = reach[np.ix_(inside, outside)]
+        a, b = np.unravel_index(part.argmin(), part.shape)
+        edges.append((float(part[a, b]), inside[a], outside[b]))
+        inside.append(outside[b])
+    return sorted(edges)
+
+
+@pytest.mark.parametrize(("n", "dims", "k"), [(2, 2, 1), (300, 2, 5), (700, 3, 1), (600, 5, 10)])
+def test_spanning_tree_is_minimal(spark, n, dims, k, monkeypatch):
+    """The distributed tree weighs what Prim's does, edge by edge, with leaves small enough to be passed over, and with repeated points."""
+    monkeypatch.setattr(M._leaves, "__defaults__", (16,))
+    rng = np.random.default_rng(n)
+    points = np.concatenate([rng.normal(size=(n // 2, dims)) * 0.1, rng.normal(size=(n - n // 2, dims)) + 5])
+    points[: n // 20] = points[0]
+    edges = M.spanning_tree(spark.range(1), points, k)
+    assert np.allclose([e[0] for e in edges], [e[0] for e in prim(points, k)])
+
+
+def test_density_clusters_query(spark):
+    """The query finds clusters, and the ceiling is one of bytes that says so."""
+    found = models.m08_density_clusters(spark, SF).collect()
+    assert len({r["label"] for r in found}) > 3 and all(0 <= r["probability"] <= 1 for r in found)
+    assert models.m15_bootstrap(spark, SF).first()["ari"] > 0
+    assert 0.5 < models.m07_reduction_quality(spark, SF).first()["trustworthiness"] <= 1
+    with pytest.raises(ValueError):
+        M.clustered(spark.createDataFrame([(1, [1.0, 2.0])], "i long, coords array<double>"), "i", 2, most_bytes=8)
+
+
+def test_agreement_of_trivial_labellings(spark):
+    value = lambda rows: tuple(E.agreement(spark.createDataFrame(rows, "a long, b long"), "a", "b").first())
+    assert value([(1, 2)] * 5) == (1.0, 1.0) and value([(1, 2)]) == (1.0, 1.0)
+    assert value([(1, i) for i in range(4)]) == (0.0, 0.0)
+    assert value([]) == (None, None)
+
+
 def test_density_clusters_of_blobs():
     rng = np.random.default_rng(4)
     points = np.concatenate([rng.normal(c, 0.05, (40, 2)) for c in ((0, 0), (3, 3), (0, 3))] + [rng.uniform(-20, 20, (5, 2))])
-    labels, probability = M.density_clusters(points, 10)
+    labels, probability = M.density_clusters(len(points), prim(points, 10), 10)
     assert len({*labels[:120]} - {-1}) == 3 and (labels[120:] == -1).sum() >= 4
     assert all(len({*labels[a : a + 40]} - {-1}) == 1 for a in (0, 40, 80)) and ((0 <= probability) & (probability <= 1)).all()
-    assert (M.density_clusters(points[:5], 10)[0] == -1).all()
+    assert (M.density_clusters(5, [], 10)[0] == -1).all()
     high = rng.normal(size=(30, 4))
     assert M.trustworthiness(high, high, 5) == 1.0
 
@@ -270,3 +314,59 @@ def test_paged_service(spark):
     assert api.threads(Client(), caller, "v", 10) == [{"id": "t"}]
     row = api.source_rows(spark, [json.dumps({"id": "a", "title": "t", "statistics": {"viewCount": "7", "likeCount": "x"}})]).first()
     assert (row["views"], row["likes"]) == (7, None)
+
+
+def test_checks_find_and_raise(spark, tmp_path):
+    rows = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 0.0]), (2, [1.0]), (3, None), (4, [float("nan"), 1.0]), (5, [float("inf"), 1.0])], "i long, v array<double>")
+    assert tuple(X.matrix_faults(rows, "v", 2).first()) == (2, 2, 1)
+    with pytest.raises(ValueError, match="2 shape, 2 not_finite, 1 zero"):
+        sinks.write_matrix(rows, str(tmp_path), "i", "v", 2)
+    fine = rows.filter("i = 0")
+    assert spark.read.parquet(sinks.write_matrix(fine, f"file://{tmp_path}", "i", "v", 2)).count() == 1
+    assert tuple(X.keep_faults(spark.createDataFrame([(0, 2), (1, 1), (2, 1), (3, 9), (4, None)], "o long, i long"), "i", 5, "o").first()) == (2, 1, 1)
+    assert tuple(X.id_faults(spark.createDataFrame([("a",), ("a",), (" ",), (None,)], "k string"), "k").first()) == (2, 1, 0)
+    assert tuple(X.id_faults(spark.createDataFrame([], "k string"), "k").first()) == (0, 0, 1)
+    one, two = spark.createDataFrame([(0, "a"), (1, "b")], "i long, x string"), spark.createDataFrame([(0, 5), (2, 6)], "i long, y int")
+    with pytest.raises(ValueError, match="1 only left, 1 only right"):
+        X.zipped(one, two, "i")
+    assert X.zipped(one, two.replace(2, 1, "i"), "i").count() == 2
+    with pytest.raises(Exception, match="a line is no group"):
+        X.parsed_groups(spark.createDataFrame([("{\"representative\": 1}",)], "raw string")).collect()
+    with pytest.raises(FileExistsError):
+        for _ in range(2):
+            sinks.report_bundle(tmp_path, "r", "t", [("a", 1)])
+    assert {p.suffix for p in tmp_path.glob("r.*")} == {".json", ".md", ".csv", ".svg"}
+
+
+def test_warnings(spark):
+    row = spark.createDataFrame([(0.6, 0.9, 0.1, 3, 4)], "outlier_share double, dominant_share double, mean_probability double, n_micro int, n_clusters int")
+    assert row.select(X.clustering_warnings()).first()[0] == ["many outliers", "one cluster dominates", "low mean probability", "many small clusters"]
+    row = spark.createDataFrame([(0.1, None, 0.6, 0)], "reassigned_share double, mean_margin double, dominant_share double, excluded_topics int")
+    assert row.select(X.reassignment_warnings()).first()[0] == ["one topic receives most"]
+
+
+def test_languages(spark):
+    texts = ["", "short", None, "это очень хороший текст и он не короткий", "this is the text that is not short at all", "zzzz qqqq wwww xxxx yyyy"]
+    assert column(spark, texts, L.label) == ["unknown_short"] * 3 + ["russian", "english", "unknown"]
+    assert column(spark, texts, lambda c: L.probably("russian", F.lit(None).cast("string"), c)) == [True, True, True, True, False, False]
+    assert column(spark, texts[3:5], lambda c: L.label(c, detector=lambda t: F.lit("mine"))) == ["mine", "mine"]
+
+
+def test_summaries_leave_the_heavy_column_unread(spark):
+    plan = checks.p07_summaries(spark, SF)._jdf.queryExecution().toString()
+    assert "html" not in plan.split("== Physical Plan ==")[1]
+
+
+def test_shared_folder_is_shared(spark):
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), spark.conf
+
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        with pytest.raises(ValueError):
+            shared.shared_dir(Session())

@@ -18,8 +18,12 @@ from pyspark.sql import functions as F
 
 from threadloom.functions import scalars as S
 
-#: Rows up to which the density hierarchy, which compares all pairs, is built.
-CEILING = 20_000
+#: Bytes of coordinates, as doubles, up to which the density hierarchy is built: every executor holds them, and the driver the tree.
+MOST_BYTES = 256 << 20
+#: Rows of which trustworthiness is measured at most.
+TRUST_ROWS = 1_000
+#: Points in a leaf of the k-d tree that orders them.
+LEAF = 256
 #: Rows that a reducer is fitted on at most.
 FIT_ROWS = 100_000
 
@@ -71,38 +75,162 @@ def reduction_quality(coords: DataFrame, key: str) -> DataFrame:
 def trustworthiness(high: np.ndarray, low: np.ndarray, k: int) -> float:
     """How far neighbours in the reduced space are neighbours in the original one; for a bounded prefix of rows."""
     n = len(high)
-    far = lambda m: np.linalg.norm(m[:, None] - m[None, :], axis=2) + np.diag(np.full(n, np.inf))
+    square = lambda m: (m * m).sum(axis=1)
+    far = lambda m: square(m)[:, None] + square(m)[None] - 2 * m @ m.T + np.diag(np.full(n, np.inf))
     rank = np.argsort(np.argsort(far(high), axis=1, kind="stable"), axis=1) + 1
     near = np.argsort(far(low), axis=1, kind="stable")[:, :k]
     extra = np.maximum(np.take_along_axis(rank, near, axis=1) - k, 0).sum()
     return 1 - extra * 2 / (n * k * (2 * n - 3 * k - 1))
 
 
-def _spanning_tree(points: np.ndarray, core: np.ndarray) -> list[tuple[float, int, int]]:
-    """Edges of the minimum spanning tree of mutual reachability, by Prim's method, a row of distances at a time."""
-    n = len(points)
-    inside, best, of = np.zeros(n, bool), np.full(n, np.inf), np.zeros(n, int)
-    at, edges = 0, []
-    for _ in range(n - 1):
-        inside[at] = True
-        d = np.maximum(np.maximum(np.sqrt(((points - points[at]) ** 2).sum(axis=1)), core), core[at])
-        closer = ~inside & (d < best)
-        best[closer], of[closer] = d[closer], at
-        at = int(np.argmin(np.where(inside, np.inf, best)))
-        edges.append((float(best[at]), int(of[at]), at))
+def trust(df: DataFrame, coords: DataFrame, key: str, vector: str, rows: int = TRUST_ROWS) -> DataFrame:
+    """Trustworthiness with at most five neighbours over the first ``rows`` rows by key, as its rank matrix is quadratic."""
+    first = df.select(key, vector).orderBy(key).limit(rows).join(coords, key).orderBy(key).toArrow()
+    n = len(first)
+    k = min(5, (n - 1) // 2)
+    high, low = (np.array(first.column(c).to_pylist(), float) for c in (vector, "coords"))
+    value = trustworthiness(high, low, k) if k > 0 else None
+    return df.sparkSession.createDataFrame([(k, None if value is None else round(float(value), 6))], "neighbours int, trustworthiness double")
+
+
+def _leaves(points: np.ndarray, most: int = LEAF) -> list[np.ndarray]:
+    """Places of the points in the leaves of a k-d tree: each cut halves the widest side."""
+    out, todo = [], [np.arange(len(points))]
+    while todo:
+        at = todo.pop()
+        if len(at) <= most:
+            out.append(at)
+            continue
+        part = points[at]
+        x = part[:, np.argmax(part.max(axis=0) - part.min(axis=0))]
+        order = np.argpartition(x, len(at) // 2)
+        todo += [at[order[: len(at) // 2]], at[order[len(at) // 2 :]]]
+    return out
+
+
+def _apart(low: np.ndarray, high: np.ndarray, i: int) -> np.ndarray:
+    """Least distance of box i to each box."""
+    gap = np.maximum(0, np.maximum(low - high[i], low[i] - high))
+    return np.sqrt((gap * gap).sum(axis=1))
+
+
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.sqrt(((a[:, None] - b[None]) ** 2).sum(axis=2))
+
+
+class _Space:
+    """Points in leaves with their boxes; what a task needs to search among all."""
+
+    def __init__(self, points: np.ndarray):
+        self.points, self.leaves = points, _leaves(points)
+        self.low = np.array([points[x].min(axis=0) for x in self.leaves])
+        self.high = np.array([points[x].max(axis=0) for x in self.leaves])
+
+    def neighbours(self, leaf: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(distances, places) of the k nearest other points of each point in a leaf, nearest first."""
+        own = self.leaves[leaf]
+        apart = _apart(self.low, self.high, leaf)
+        best, of = np.full((len(own), k), np.inf), np.full((len(own), k), -1)
+        for j in np.argsort(apart, kind="stable"):
+            if apart[j] > best[:, -1].max():
+                break
+            other = self.leaves[j]
+            d = _distances(self.points[own], self.points[other])
+            if j == leaf:
+                np.fill_diagonal(d, np.inf)
+            d, o = np.concatenate([best, d], axis=1), np.concatenate([of, np.broadcast_to(other, (len(own), len(other)))], axis=1)
+            top = np.argpartition(d, k - 1, axis=1)[:, :k]
+            best, of = np.take_along_axis(d, top, 1), np.take_along_axis(o, top, 1)
+        order = np.lexsort((of, best))
+        return np.take_along_axis(best, order, 1), np.take_along_axis(of, order, 1)
+
+    def crossings(self, leaf: int, core: np.ndarray, component: np.ndarray, bound: np.ndarray) -> list[tuple[int, float, int, int]]:
+        """(component, distance, point, other) of the shortest edge of mutual reachability that leaves each component with points in a leaf, if not above the component's ``bound``; ties to the lowest places."""
+        own = self.leaves[leaf]
+        mine, limit = component[own], bound[component[own]].copy()
+        found: dict[int, tuple[float, int, int]] = {}
+        apart = np.maximum(_apart(self.low, self.high, leaf), core[own].min())
+        for j in np.argsort(apart, kind="stable"):
+            open_ = np.flatnonzero(limit >= np.maximum(apart[j], core[own]))
+            if not len(open_) or apart[j] > limit.max():
+                break
+            other = self.leaves[j]
+            d = np.maximum(np.maximum(_distances(self.points[own[open_]], self.points[other]), core[own[open_], None]), core[other][None])
+            d[mine[open_, None] == component[other][None]] = np.inf
+            at = d.argmin(axis=1)
+            for i, x, o in zip(open_.tolist(), d[np.arange(len(open_)), at].tolist(), other[at].tolist()):
+                c = int(mine[i])
+                edge = (x, min(int(own[i]), o), max(int(own[i]), o))
+                if x < np.inf and x <= bound[c] and (c not in found or edge < found[c]):
+                    found[c] = edge
+            for c, (x, _, _) in found.items():
+                limit[mine == c] = np.minimum(limit[mine == c], x)
+        return [(c, *e) for c, e in found.items()]
+
+
+def spanning_tree(coords: DataFrame, points: np.ndarray, k: int) -> list[tuple[float, int, int]]:
+    """Edges (distance, a, b) of the minimum spanning tree of mutual reachability, shortest first; ``points`` in places 0 to n - 1.
+
+    Boruvka's method: in each round every component finds its shortest edge out, which tasks look for leaf by leaf of a k-d tree;
+    boxes farther than what is known are passed over. The number of rounds grows with the logarithm of n. ``coords`` gives the session only.
+    """
+    spark, n = coords.sparkSession, len(points)
+    space = _Space(points)
+    shared = spark.sparkContext.broadcast(space)
+    leaves = spark.range(len(space.leaves)).repartition(max(1, min(len(space.leaves), 4 * spark.sparkContext.defaultParallelism)))
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for leaf in b.column("id").to_pylist():
+                d, o = shared.value.neighbours(leaf, k)
+                yield pa.RecordBatch.from_arrays([pa.array(shared.value.leaves[leaf]), pa.array(list(d)), pa.array(list(o))], names=["at", "distances", "others"])
+
+    found = leaves.mapInArrow(near, "at long, distances array<double>, others array<long>").toArrow()
+    at = found.column("at").to_numpy()
+    distance, other = np.empty((n, k)), np.empty((n, k), np.int64)
+    distance[at] = found.column("distances").combine_chunks().flatten().to_numpy().reshape(-1, k)
+    other[at] = found.column("others").combine_chunks().flatten().to_numpy().reshape(-1, k)
+    core = distance[:, -1]
+    reach = np.maximum(np.maximum(distance, core[:, None]), core[other])
+    component, edges = np.arange(n), []
+    while component.max() > 0:
+        out = np.where(component[other] != component[:, None], reach, np.inf).min(axis=1)
+        bound = np.full(component.max() + 1, np.inf)
+        np.minimum.at(bound, component, out)  # no edge out is longer than the shortest to a near neighbour
+        state = spark.sparkContext.broadcast((core, component, bound))
+
+        def cross(batches: Iterator[pa.RecordBatch], state=state) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for leaf in b.column("id").to_pylist():
+                    rows = shared.value.crossings(leaf, *state.value)
+                    if rows:
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], names=["component", "distance", "a", "b"])
+
+        best = leaves.mapInArrow(cross, "component long, distance double, a long, b long").groupBy("component").agg(F.min(F.struct("distance", "a", "b")).alias("e")).select("e.*").distinct().collect()  # an edge per component
+        state.destroy()
+        root = list(range(component.max() + 1))
+
+        def top(x: int, root=root) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        for d, a, b in sorted(map(tuple, best)):
+            x, y = top(int(component[a])), top(int(component[b]))
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                edges.append((d, a, b))
+        _, component = np.unique(np.array([top(x) for x in range(len(root))])[component], return_inverse=True)
+    shared.destroy()
     return sorted(edges)
 
 
-def density_clusters(points: np.ndarray, min_size: int, min_samples: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(label, probability) of each point: condensed tree of mutual reachability, clusters by excess of mass; -1 is noise."""
-    n, k = len(points), min_samples or min_size
+def density_clusters(n: int, edges: list[tuple[float, int, int]], min_size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(label, probability) of each of n points, from a spanning tree of mutual reachability: condensed tree, clusters by excess of mass; -1 is noise."""
     labels, probability = np.full(n, -1), np.zeros(n)
     if n < max(2, min_size):
         return labels, probability
-    core = np.empty(n)
-    for i in range(0, n, 512):
-        d = np.sqrt(np.maximum(((points[i : i + 512, None] - points[None]) ** 2).sum(axis=2), 0))
-        core[i : i + 512] = np.partition(d, min(k, n - 1), axis=1)[:, min(k, n - 1)]
     # single linkage: node n + i joins two earlier nodes at a distance
     parent, left, right, size, height = list(range(2 * n - 1)), {}, {}, [1] * n + [0] * (n - 1), [0.0] * (2 * n - 1)
 
@@ -112,7 +240,7 @@ def density_clusters(points: np.ndarray, min_size: int, min_samples: int | None
             x = parent[x]
         return x
 
-    for i, (d, a, b) in enumerate(_spanning_tree(points, core)):
+    for i, (d, a, b) in enumerate(edges):
         a, b, node = root(a), root(b), n + i
         parent[a] = parent[b] = node
         left[node], right[node], size[node], height[node] = a, b, size[a] + size[b], d
@@ -180,11 +308,13 @@ def density_clusters(points: np.ndarray, min_size: int, min_samples: int | None
     return labels, probability
 
 
-def clustered(coords: DataFrame, key: str, min_size: int, ceiling: int = CEILING) -> DataFrame:
-    """M08 over a table of coordinates: (key, label, probability). Refuses more than ``ceiling`` rows, as all pairs are compared on the driver."""
-    rows = coords.select(key, "coords")
-    if rows.limit(ceiling + 1).count() > ceiling:
-        raise ValueError(f"density clustering compares all pairs, up to {ceiling} rows")
-    local = rows.orderBy(key).toArrow()
-    labels, probability = density_clusters(np.array(local.column("coords").to_pylist(), float).reshape(len(local), -1), min_size)
+def clustered(coords: DataFrame, key: str, min_size: int, min_samples: int | None = None, most_bytes: int = MOST_BYTES) -> DataFrame:
+    """M08 over a table of coordinates: (key, label, probability). Refuses coordinates of more than ``most_bytes``, which every executor holds."""
+    n, dims = coords.agg(F.count("*"), F.max(F.size("coords"))).first()
+    if n * (dims or 1) * 8 > most_bytes:
+        raise ValueError(f"density clustering holds up to {most_bytes} bytes of coordinates")
+    local = coords.select(key, "coords").orderBy(key).toArrow()
+    points = local.column("coords").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float).reshape(n, -1) if n else np.zeros((0, 1))
+    edges = spanning_tree(coords, points, min(min_samples or min_size, n - 1)) if n >= max(2, min_size) else []
+    labels, probability = density_clusters(n, edges, min_size)
     return coords.sparkSession.createDataFrame(pa.table({key: local.column(key), "label": labels.astype(np.int64), "probability": probability}))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from threadloom.functions import scalars as S
 from threadloom.functions import text as T
+from threadloom.operators.topics import PARTS, centroid_pairs, centroids
 
 
 def silhouette(df: DataFrame, label: str, vector: str) -> DataFrame:
@@ -39,7 +40,10 @@ def geometry(df: DataFrame, label: str, vector: str) -> DataFrame:
     a, b = spread.select(F.col("l").alias("a"), F.col("d").alias("da"), F.col("c").alias("ca")), spread.select(F.col("l").alias("b"), F.col("d").alias("db"), F.col("c").alias("cb"))
     worst = a.join(F.broadcast(b), F.col("a") != F.col("b")).groupBy("a").agg(F.max((F.col("da") + F.col("db")) / apart(F.col("ca"), F.col("cb"))).alias("r"))
     davies = worst.agg(F.round(F.avg("r"), 6).alias("davies_bouldin"))
-    return silhouette(df, label, vector).crossJoin(calinski).crossJoin(davies)  # one row each
+    found = centroids(df.filter(F.col(label) >= 0), label, vector, at_unit=True).drop("members")
+    within = df.filter(F.col(label) >= 0).select(label, S.unit(F.col(vector)).alias("u")).join(F.broadcast(found), label).agg(F.round(F.avg(S.dot(F.col("u"), F.col("centroid"))), 6).alias("mean_intra_similarity"))
+    nearest = centroid_pairs(found, label).agg(F.round(F.max("similarity"), 6).alias("max_centroid_similarity"))
+    return silhouette(df, label, vector).crossJoin(calinski).crossJoin(davies).crossJoin(within).crossJoin(nearest)  # one row each
 
 
 def contingency(df: DataFrame, left: str, right: str) -> DataFrame:
@@ -51,18 +55,19 @@ def contingency(df: DataFrame, left: str, right: str) -> DataFrame:
 
 
 def agreement(df: DataFrame, left: str, right: str) -> DataFrame:
-    """Adjusted Rand index and normalised mutual information (arithmetic mean), from the contingency table."""
-    n = df.groupBy(left, right).agg(F.count("*").cast("double").alias("n"))
+    """Adjusted Rand index and normalised mutual information (arithmetic mean), from the contingency table. Two labellings of one label each, or of none equal, agree wholly (1.0); no rows give nulls."""
+    n = df.groupBy(F.col(left).alias("_l"), F.col(right).alias("_r")).agg(F.count("*").cast("double").alias("n"))
     pairs = lambda c: F.sum(F.col(c) * (F.col(c) - 1) / 2)
-    a, b = n.groupBy(left).agg(F.sum("n").alias("a")), n.groupBy(right).agg(F.sum("n").alias("b"))
+    a, b = n.groupBy("_l").agg(F.sum("n").alias("a")), n.groupBy("_r").agg(F.sum("n").alias("b"))
     total = n.agg(F.sum("n").alias("t"), pairs("n").alias("pn"))
-    x = n.join(F.broadcast(a), left).join(F.broadcast(b), right).crossJoin(F.broadcast(total))
+    x = n.join(F.broadcast(a), "_l").join(F.broadcast(b), "_r").crossJoin(F.broadcast(total))
     mutual = x.agg(F.sum(F.col("n") / F.col("t") * F.log(F.col("n") * F.col("t") / (F.col("a") * F.col("b")))).alias("mi"))
     sides = [s.crossJoin(F.broadcast(total)).agg(pairs(c).alias(f"p{c}"), (-F.sum(F.col(c) / F.col("t") * F.log(F.col(c) / F.col("t")))).alias(f"h{c}")) for s, c in ((a, "a"), (b, "b"))]
     one = mutual.crossJoin(sides[0]).crossJoin(sides[1]).crossJoin(total)
-    chance = F.col("pa") * F.col("pb") / (F.col("t") * (F.col("t") - 1) / 2)
-    ari = (F.col("pn") - chance) / ((F.col("pa") + F.col("pb")) / 2 - chance)
-    return one.select(F.round(ari, 6).alias("ari"), F.round(2 * F.col("mi") / (F.col("ha") + F.col("hb")), 6).alias("nmi"))
+    chance = F.when(F.col("t") > 1, F.try_divide(F.col("pa") * F.col("pb"), F.col("t") * (F.col("t") - 1) / 2)).otherwise(0.0)
+    ratio = lambda a, b: F.when(F.col("t").isNotNull(), F.when(b == 0, 1.0).otherwise(F.try_divide(a, b)))
+    ari = ratio(F.col("pn") - chance, (F.col("pa") + F.col("pb")) / 2 - chance)
+    return one.select(F.round(ari, 6).alias("ari"), F.round(ratio(2 * F.col("mi"), F.col("ha") + F.col("hb")), 6).alias("nmi"))
 
 
 def assignment(cost: np.ndarray) -> list[tuple[int, int]]:
@@ -92,6 +97,34 @@ def assignment(cost: np.ndarray) -> list[tuple[int, int]]:
     return sorted((b, a) for a, b in out) if flip else sorted(out)
 
 
+def matched(contingent: DataFrame, left: str, right: str) -> DataFrame:
+    """(left, right, overlap, retention) of the one-to-one matching of clusters with the largest overlap, outliers apart. A row per pair of clusters reaches the driver."""
+    rows = contingent.filter((F.col(left) >= 0) & (F.col(right) >= 0)).select(left, right, "n").collect()
+    a, b = sorted({r[left] for r in rows}), sorted({r[right] for r in rows})
+    overlap = np.zeros((len(a), len(b)))
+    for r in rows:
+        overlap[a.index(r[left]), b.index(r[right])] = r["n"]
+    size = overlap.sum(axis=1)
+    out = [(a[i], b[j], int(overlap[i, j]), round(float(overlap[i, j] / size[i]), 6)) for i, j in (assignment(-overlap) if rows else []) if overlap[i, j]]
+    return contingent.sparkSession.createDataFrame(out, "left long, right long, overlap long, retention double")
+
+
+def suspicious(keywords: Column) -> Column:
+    """How many keywords look like an address or a phone number."""
+    return F.size(F.filter(keywords, lambda k: T.has_email(k) | T.has_phone(k)))
+
+
+def export_counts(final: DataFrame) -> DataFrame:
+    """(final_label, records, reassigned)."""
+    return final.filter("final_label >= 0").groupBy("final_label").agg(F.count("*").alias("records"), F.count_if("reassigned").alias("reassigned"))
+
+
+def research_assignments(final: DataFrame, key: str, public: list[Column], provenance: DataFrame, provenance_key: str) -> DataFrame:
+    """The public columns with each record's id and what ``provenance`` says of it; only for who asks for it."""
+    known = provenance.withColumnRenamed(provenance_key, "record_id")
+    return final.select(F.col(key).alias("record_id"), *public).join(known, "record_id")
+
+
 def verdict(failures: list[str], warnings: list[str], preliminary: bool) -> str:
     """M17."""
     return "fail" if failures else "pass_with_warnings" if warnings or preliminary else "pass"
@@ -106,8 +139,12 @@ def review_sample(df: DataFrame, label: str, order: str, reassigned: Column, per
     """The first rows of each topic, one of them reassigned if the topic has any, and the first outliers.
 
     The first reassigned row replaces the candidate before it even where there is room; where it comes first, it is simply kept.
+    Of each of ``PARTS`` parts of a topic only the first rows and the first reassigned one can matter, so no task sorts a whole topic.
     """
+    part = Window.partitionBy(label, F.pmod(F.xxhash64(order), F.lit(PARTS)))
     inside = df.filter((F.col(label) >= 0) & (F.col(label) < topics)).withColumn("_r", reassigned)
+    inside = inside.withColumn("_k", F.row_number().over(part.orderBy(order))).withColumn("_p", F.min(F.when(F.col("_r"), F.col("_k"))).over(part))
+    inside = inside.filter((F.col("_k") <= per_topic + 1) | (F.col("_k") == F.col("_p"))).drop("_k", "_p")
     p = F.min(F.when(F.col("_r"), F.col("_n"))).over(Window.partitionBy(label))
     ranked = inside.withColumn("_n", F.row_number().over(Window.partitionBy(label).orderBy(order)))
     kept = ranked.withColumn("_p", p).withColumn("_drop", F.when(F.col("_p") > 1, F.least(F.col("_p") - 1, F.lit(per_topic))))

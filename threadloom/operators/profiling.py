@@ -1,4 +1,4 @@
-"""Profiles of a table of texts."""
+"""Profiles of a table of texts."""
 
 from __future__ import annotations
 
@@ -93,3 +93,10 @@ def missing(df: DataFrame, fields: list[str]) -> DataFrame:
 def top_counts(df: DataFrame, key: str, order: str, k: int) -> DataFrame:
     """The k most frequent keys, ties by first appearance."""
     return df.groupBy(key).agg(F.count("*").alias("n"), F.min(order).alias("_first")).orderBy(F.desc("n"), "_first").limit(k).drop("_first")
+
+
+def corpus_statistics(df: DataFrame, language: str, source: str) -> DataFrame:
+    """(measure, value, n): rows, rows per language, and distinct sources that aren't blank."""
+    blank = F.when(F.col(source) != "", F.col(source))
+    whole = df.agg(F.count("*").alias("rows"), F.count_distinct(blank).alias("sources")).selectExpr("stack(2, 'rows', '', rows, 'sources', '', sources) AS (measure, value, n)")
+    return whole.unionByName(df.groupBy(F.col(language).alias("value")).agg(F.count("*").alias("n")).withColumn("measure", F.lit("language")))

@@ -1,4 +1,4 @@
-"""Relational reads of the operational half."""
+"""Relational reads of the operational half."""
 
 from __future__ import annotations
 
@@ -50,3 +50,14 @@ def stale(df: DataFrame, status: str, started: str, running: str, now: str, minu
     cutoff = F.to_timestamp(F.lit(now)) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
     old = (F.col(status) == running) & (F.col(started).isNull() | (F.col(started) < cutoff))
     return df.withColumn(status, F.when(old, "failed").otherwise(F.col(status)))
+
+
+def largest_first(df: DataFrame, label: str) -> DataFrame:
+    """(label, n, place), the largest first, ties by label; a row per label is all that is put in order."""
+    sizes = df.groupBy(label).agg(F.count("*").alias("n"))
+    return sizes.withColumn("place", F.row_number().over(Window.orderBy(F.desc("n"), label)))
+
+
+def trial(df: DataFrame, index: str, n: int) -> DataFrame:
+    """The rows of the first n places, by place, so that a trial is the same each time."""
+    return df.filter(F.col(index) < n)

@@ -12,6 +12,8 @@ from threadloom.functions import scalars as S
 from threadloom.sources.shared import materialise
 from threadloom.sources.tables import spread
 
+#: Parts of a topic that are ordered apart before the whole is.
+PARTS = 64
 TERM = r"[\p{L}\p{N}_][\p{L}\p{N}_-]*[\p{L}\p{N}_]"
 
 
@@ -134,10 +136,15 @@ def topic_documents(df: DataFrame, topic: str, text: str, order: str, budget: in
     """(topic, document, truncated): texts joined by newlines until the budget of characters runs out.
 
     A text counts only while the sum before it is under the budget, and at most ``budget`` texts of one
-    character or more can; empty ones cost nothing.
+    character or more can; empty ones cost nothing. A topic is first cut in ``PARTS`` parts of its rows, each by the
+    same rule, as what a part's own rows push out is out of the whole; so no task sorts a whole topic.
     """
-    before = F.coalesce(F.sum(F.char_length(text)).over(Window.partitionBy(topic).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    cut = df.withColumn("_before", before).withColumn("_cut", F.expr(f"left({text}, cast(greatest(0, {budget} - _before) as int))"))
+    length = F.char_length(text)
+    running = lambda *by: F.coalesce(F.sum("_len").over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    narrow = df.select(topic, order, F.expr(f"left({text}, {budget})").alias(text), length.alias("_len")).withColumn("_part", F.pmod(F.xxhash64(order), F.lit(PARTS)))
+    first = narrow.withColumn("_before", running(topic, "_part")).filter(F.col("_before") < budget)
+    before = running(topic)
+    cut = first.withColumn("_before", before).withColumn("_cut", F.expr(f"left({text}, cast(greatest(0, {budget} - _before) as int))"))
     total = df.groupBy(topic).agg((F.sum(F.char_length(text)) > budget).alias("truncated"))
     parts = cut.filter((F.col("_before") < budget) & (F.col("_cut") != "")).groupBy(topic).agg(F.sort_array(F.collect_list(F.struct(order, "_cut"))).alias("_p"))
     return parts.join(total, topic).select(topic, F.array_join(F.transform("_p", lambda x: x["_cut"]), "\n").alias("document"), "truncated")

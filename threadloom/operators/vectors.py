@@ -13,15 +13,16 @@ from pyspark.sql import functions as F
 from threadloom.functions import scalars as S
 from threadloom.sources.shared import materialise, remove
 
-#: Rows that are broadcast at once to be compared with all; more go out in blocks of about so many.
-EXHAUSTIVE = 50_000
+#: Rows that are broadcast at once to be compared with all, and their bytes as doubles; more go out in blocks of about so many.
+EXHAUSTIVE, BLOCK_BYTES = 50_000, 128 << 20
 #: Bits of a hash code, the recall that the tables are counted for, and the tables beyond which exact comparison takes over.
 BITS, RECALL, MOST_TABLES = 12, 0.95, 64
 
 
 def matrix(column: pa.Array) -> np.ndarray:
     """Arrays of one length as a matrix of doubles with rows at length one."""
-    m = np.array(column.to_pylist(), dtype=float)
+    whole = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    m = whole.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(whole), -1)
     return m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
@@ -33,8 +34,8 @@ def exact_pairs(df: DataFrame, key: str, vector: str, threshold: float, kind: st
     """
     names = [key, vector, *([kind] if kind else [])]
     rows = df.select(*names)
-    if rows.limit(ceiling + 1).count() > ceiling:
-        raise ValueError(f"all pairs are compared at once up to {ceiling} rows; use block_pairs beyond")
+    if rows.limit(ceiling + 1).count() > ceiling or (rows.agg(F.sum(F.size(vector))).first()[0] or 0) * 8 > BLOCK_BYTES:
+        raise ValueError(f"all pairs are compared at once up to {ceiling} rows and {BLOCK_BYTES} bytes; use block_pairs beyond")
     return similar(_matches(rows, rows, key, vector, threshold, kind)[0], df, key, vector)
 
 
@@ -46,7 +47,9 @@ def block_pairs(df: DataFrame, key: str, vector: str, threshold: float, kind: st
     written to the shared folder before the next, so that one block is held at a time.
     """
     narrow = df.select(key, vector, *([kind] if kind else []))
-    blocks = max(1, -(-narrow.count() // block))
+    n, dims = narrow.agg(F.count("*"), F.max(F.size(vector))).first()
+    block = max(1, min(block, BLOCK_BYTES // (8 * max(dims or 1, 1))))
+    blocks = max(1, -(-n // block))
     rows, path = materialise(narrow.repartition(max(df.sparkSession.sparkContext.defaultParallelism, 4 * blocks), key), "vectors")
     out = None
     for i in range(blocks):
@@ -127,13 +130,16 @@ def candidate_pairs(df: DataFrame, key: str, vector: str, threshold: float) -> D
 def nearest(df: DataFrame, queries: DataFrame, key: str, vector: str, k: int, block: int = 4096) -> DataFrame:
     """for each query row its k most alike other rows, (query, id, similarity, rank).
 
-    Queries go out in blocks, each to every executor; a task keeps the k best of its rows per query, so
-    what is shuffled is k rows per query and task.
+    Queries go out in blocks of about ``block``, told by the hash of their key, each gathered and sent to every executor by itself; a
+    task keeps the k best of its rows per query, so what is shuffled is k rows per query and task.
     """
     spark, out = df.sparkSession, None
-    listed = queries.select(F.col(key).alias("q"), F.col(vector).alias("v")).orderBy("q").toArrow()
-    for start in range(0, len(listed), block):
-        part = listed.slice(start, block)
+    asked = queries.select(F.col(key).alias("q"), F.col(vector).alias("v"))
+    blocks = -(-asked.count() // block)
+    for i in range(blocks):
+        part = asked.filter(F.pmod(F.xxhash64("q"), F.lit(blocks)) == i).orderBy("q").toArrow()
+        if not len(part):
+            continue
         shared = spark.sparkContext.broadcast((part.column("q").to_numpy(), matrix(part.column("v"))))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

@@ -1,6 +1,6 @@
 """Queries of models and streams."""
 
-import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -8,15 +8,16 @@ from threadloom.operators import clustering as M
 from threadloom.operators import evaluation as E
 from threadloom.operators import vectors as V
 from threadloom.plans.registry import query
-from threadloom.plans.topics import NEAR, embeddings
+from threadloom.plans.topics import NEAR, PAIRS, embeddings
 from threadloom.sources.shared import shared_dir
 from threadloom.sources.tables import table
 from threadloom.streaming import ingest
 
 
-@query()
+@query(f'WITH {PAIRS} SELECT l AS "left", r AS "right", round(s, 6) AS similarity FROM pairs')
 def j09_lsh_candidates(spark, d):
-    return V.candidate_pairs(embeddings(spark, d), "vec_id", "embedding", NEAR)
+    """At this threshold hashing would need about a thousand tables, so all pairs are compared and the recall is 1."""
+    return V.candidate_pairs(embeddings(spark, d), "vec_id", "embedding", NEAR).withColumn("similarity", F.round("similarity", 6))
 
 
 @query()
@@ -32,28 +33,37 @@ def m06_pca_reduction(spark, d):
 
 @query()
 def m07_reduction_quality(spark, d):
-    return M.reduction_quality(M.reduced(embeddings(spark, d), "vec_id", "embedding", 5), "vec_id")
+    rows = embeddings(spark, d)
+    coords = M.reduced(rows, "vec_id", "embedding", 5)
+    return M.reduction_quality(coords, "vec_id").crossJoin(M.trust(rows, coords, "vec_id", "embedding"))
+
+
+#: Cluster size and core neighbours at which the synthetic vectors, which lie far apart, show clusters.
+SMALLEST, CORE = 8, 1
+
+
+def _dense(rows):
+    return M.clustered(M.reduced(rows, "vec_id", "embedding", 5), "vec_id", SMALLEST, CORE)
 
 
 @query()
 def m08_density_clusters(spark, d):
-    return M.clustered(M.reduced(embeddings(spark, d), "vec_id", "embedding", 5), "vec_id", 10)
+    return _dense(embeddings(spark, d))
 
 
 @query()
 def m15_bootstrap(spark, d):
     """Agreement of the clusters of the whole with those of a resample of four fifths."""
     rows = embeddings(spark, d)
-    whole = M.clustered(M.reduced(rows, "vec_id", "embedding", 5), "vec_id", 10)
     part = rows.filter(F.pmod(F.xxhash64(F.lit(42), "vec_id"), F.lit(5)) > 0)
-    again = M.clustered(M.reduced(part, "vec_id", "embedding", 5), "vec_id", 10).select("vec_id", F.col("label").alias("label_again"))
-    return E.agreement(whole.join(again, "vec_id"), "label", "label_again")
+    again = _dense(part).select("vec_id", F.col("label").alias("label_again"))
+    return E.agreement(_dense(rows).join(again, "vec_id"), "label", "label_again")
 
 
 @query("SELECT user_id AS external_id, max(event_id) AS event_id FROM events GROUP BY 1")
 def t01_incremental_ingest(spark, d):
     """A stream read to its end into a table that is then read back."""
-    target = f"{shared_dir(spark)}/threadloom/ingest-{next(tempfile._get_candidate_names())}"
+    target = f"{shared_dir(spark)}/threadloom/ingest-{uuid.uuid4().hex}"
     source = table(spark, d, "events")
     stream = spark.readStream.schema(source.schema).parquet(f"{d}/events.parquet*")
     rows = stream.select(F.col("user_id").alias("external_id"), "event_id")

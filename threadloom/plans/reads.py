@@ -135,8 +135,29 @@ def f18_age_labels(spark, d):
     return table(spark, d, "events").select("event_id", S.age_label(F.col("ts"), F.to_timestamp(F.lit(NOW))).alias("label"), S.thousands(F.col("event_id") * 1000).alias("shown"))
 
 
-@query("""SELECT event_id, event_type, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS created FROM events WHERE event_type = 'signup' AND ts >= TIMESTAMP '2024-01-15' ORDER BY event_id""")
+@query("""SELECT c_name AS source_name, n_name AS source_channel, 'https://video.example/watch?v=' || c_custkey AS source_url, c_custkey::VARCHAR AS source_id, c_mktsegment AS search_query, o_orderkey AS comment_id, o_orderpriority AS comment_text, o_orderstatus AS comment_author,
+count(*) FILTER (WHERE l_returnflag = 'R') AS comment_like_count, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS comment_published_at, count(l_linenumber) AS comment_total_reply_count, coalesce(list(l_linenumber::BIGINT ORDER BY l_linenumber) FILTER (WHERE l_linenumber IS NOT NULL), []) AS comment_replies
+FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey LEFT JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderdate >= TIMESTAMP '1998-01-01' GROUP BY ALL ORDER BY comment_id""")
 def k08_export_rows(spark, d):
-    """The joined projection that an export writes as JSON lines, in order."""
-    events = table(spark, d, "events").filter((F.col("event_type") == "signup") & (F.col("ts") >= F.to_timestamp(F.lit("2024-01-15"))))
-    return events.select("event_id", "event_type", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("created")).orderBy("event_id")
+    """The twelve fields that an export writes as JSON lines: documents with their source, its link and their replies, in order."""
+    orders = table(spark, d, "orders").filter(F.col("o_orderdate") >= F.to_timestamp(F.lit("1998-01-01"))).select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    # replies are gathered before the join; an order has a handful
+    replies = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count_if(F.col("l_returnflag") == "R").alias("likes"), F.sort_array(F.collect_list(F.col("l_linenumber").cast("long"))).alias("replies"))
+    sources = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment").join(R.small(table(spark, d, "nation").select("n_nationkey", "n_name")), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = orders.join(R.small(sources), F.col("o_custkey") == F.col("c_custkey")).join(replies, "o_orderkey", "left")
+    none = F.array().cast("array<bigint>")
+    return rows.select(
+        F.col("c_name").alias("source_name"),
+        F.col("n_name").alias("source_channel"),
+        F.concat(F.lit("https://video.example/watch?v="), F.col("c_custkey").cast("string")).alias("source_url"),
+        F.col("c_custkey").cast("string").alias("source_id"),
+        F.col("c_mktsegment").alias("search_query"),
+        F.col("o_orderkey").alias("comment_id"),
+        F.col("o_orderpriority").alias("comment_text"),
+        F.col("o_orderstatus").alias("comment_author"),
+        F.coalesce("likes", F.lit(0)).alias("comment_like_count"),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("comment_published_at"),
+        F.size(F.coalesce("replies", none)).cast("long").alias("comment_total_reply_count"),
+        F.coalesce("replies", none).alias("comment_replies"),
+    ).orderBy("comment_id")

@@ -193,11 +193,11 @@ def r04_array_count(spark, d):
     return threads.select("conv_id", (F.size("turns") == F.array_max(F.transform("turns", lambda x: x["turn"])) + 1).alias("valid"))
 
 
-@query("SELECT count(DISTINCT coalesce(role, '')) AS n_roles, count(DISTINCT coalesce(left(text, 1), '')) AS n_initials, count(*) AS n_turns FROM conversations")
+@query("SELECT count(DISTINCT coalesce(role, '')) AS n_roles, count(DISTINCT coalesce(text, '')) AS n_texts, count(*) AS n_turns FROM conversations")
 def r05_distinct_nested(spark, d):
     threads = H.threads(table(spark, d, "conversations"))
     each = threads.select(F.explode("turns").alias("t"))
-    return each.agg(F.count_distinct(F.coalesce("t.role", F.lit(""))).alias("n_roles"), F.count_distinct(F.coalesce(F.left("t.text", F.lit(1)), F.lit(""))).alias("n_initials"), F.count("*").alias("n_turns"))
+    return each.agg(F.count_distinct(F.coalesce("t.role", F.lit(""))).alias("n_roles"), F.count_distinct(F.sha2(F.coalesce("t.text", F.lit("")), 256)).alias("n_texts"), F.count("*").alias("n_turns"))
 
 
 @query("""SELECT role, count(*) AS n FROM conversations GROUP BY 1""")

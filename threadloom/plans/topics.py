@@ -73,10 +73,7 @@ PAIRS = f"pairs AS (SELECT a.vec_id AS l, b.vec_id AS r, {cos('a.embedding::DOUB
 
 
 def _pairs(spark, d):
-    rows = embeddings(spark, d)
-    if rows.limit(V.EXHAUSTIVE + 1).count() > V.EXHAUSTIVE:
-        return V.block_pairs(rows, "vec_id", "embedding", NEAR, block=V.EXHAUSTIVE)
-    return V.exact_pairs(rows, "vec_id", "embedding", NEAR)
+    return V.block_pairs(embeddings(spark, d), "vec_id", "embedding", NEAR, block=V.EXHAUSTIVE)
 
 
 @query(f'WITH {PAIRS} SELECT l AS "left", r AS "right", round(s, 6) AS similarity FROM pairs')
@@ -104,10 +101,17 @@ def j04_final_corpus(spark, d):
     return V.corpus(groups, "vec_id").select("vec_id", "corpus_id", "semantic_duplicate_count")
 
 
-@query("SELECT CAST(0 AS BIGINT) AS ungrouped, CAST(0 AS BIGINT) AS repeated, CAST(0 AS BIGINT) AS uncovered")
+@query(f"""WITH RECURSIVE {ROOTS}, {GROUPED}, c AS (SELECT vec_id, representative, count(*) OVER (PARTITION BY representative) - 1 AS k FROM gr),
+f AS (SELECT * FROM c WHERE vec_id % 11 <> 3 UNION ALL SELECT * FROM c WHERE vec_id % 13 = 5 AND vec_id % 11 <> 3)
+SELECT 'as grouped' AS input, CAST(0 AS BIGINT) AS ungrouped, CAST(0 AS BIGINT) AS repeated, CAST(0 AS BIGINT) AS uncovered UNION ALL
+SELECT 'damaged', (SELECT count(*) FROM embeddings) - count(*), count(*) - count(DISTINCT vec_id), (SELECT count(*) FROM embeddings) - count(*) FILTER (WHERE vec_id = representative) - coalesce(sum(k) FILTER (WHERE vec_id = representative), 0)::BIGINT FROM f""")
 def m05_group_violations(spark, d):
+    """None in the groups as made; and those in a copy from which every eleventh row was taken and in which every thirteenth stands twice."""
     rows = embeddings(spark, d).select("vec_id")
-    return V.invalid_groups(V.grouped(rows, "vec_id", V.components(_pairs(spark, d))), rows, "vec_id")
+    groups, _ = materialise(V.grouped(rows, "vec_id", V.components(_pairs(spark, d))), "groups")
+    lost = groups.filter("vec_id % 11 <> 3")
+    damaged = lost.unionByName(lost.filter("vec_id % 13 = 5"))
+    return V.invalid_groups(groups, rows, "vec_id").withColumn("input", F.lit("as grouped")).unionByName(V.invalid_groups(damaged, rows, "vec_id").withColumn("input", F.lit("damaged")))
 
 
 @query("""SELECT label::BIGINT AS label, row_number() OVER (ORDER BY n DESC, f, label) - 1 AS new_label FROM (SELECT label, count(*) AS n, min(vec_id) AS f FROM embeddings GROUP BY 1)""")
@@ -244,6 +248,24 @@ def m16_contingency(spark, d):
     return E.contingency(_final(spark, d), "label", "final_label")
 
 
+@query(f"""WITH {DECIDED}, n AS (SELECT label, final_label, count(*) AS n FROM fl WHERE label >= 0 GROUP BY ALL) SELECT label AS "left", final_label AS "right", n AS overlap, round(n / sum(n) OVER (PARTITION BY label), 6) AS retention FROM n""")
+def m16_matching(spark, d):
+    """Only outliers change their label, so each topic is matched with itself."""
+    return E.matched(E.contingency(_final(spark, d), "label", "final_label"), "label", "final_label")
+
+
+@query(f"""WITH {DECIDED} SELECT final_label, count(*) AS records, count(*) FILTER (WHERE re) AS reassigned FROM fl WHERE final_label >= 0 GROUP BY 1""")
+def a26_export_counts(spark, d):
+    return E.export_counts(_final(spark, d))
+
+
+@query(f"""WITH {DECIDED} SELECT vec_id AS record_id, CASE WHEN final_label >= 0 THEN final_label END AS topic_id, round(confidence, 6) AS confidence, lang, source, sha256(text) AS text_sha256 FROM fl JOIN documents ON doc_id = vec_id""")
+def p12_research_assignments(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source", F.sha2("text", 256).alias("text_sha256"))
+    public = [F.when(F.col("final_label") >= 0, F.col("final_label")).alias("topic_id"), F.round("confidence", 6).alias("confidence")]
+    return E.research_assignments(_final(spark, d), "vec_id", public, docs, "doc_id")
+
+
 @query(f"""WITH {DECIDED}, n AS (SELECT label AS l, final_label AS r, count(*)::DOUBLE AS n FROM fl GROUP BY ALL), a AS (SELECT l, sum(n) AS a FROM n GROUP BY 1), b AS (SELECT r, sum(n) AS b FROM n GROUP BY 1), t AS (SELECT sum(n) AS t, sum(n * (n - 1) / 2) AS pn FROM n),
 x AS (SELECT sum(n / t * ln(n * t / (a * b))) AS mi FROM n JOIN a USING (l) JOIN b USING (r), t), y AS (SELECT sum(a * (a - 1) / 2) AS pa, -sum(a / t * ln(a / t)) AS ha FROM a, t), z AS (SELECT sum(b * (b - 1) / 2) AS pb, -sum(b / t * ln(b / t)) AS hb FROM b, t)
 SELECT round((pn - pa * pb / (t * (t - 1) / 2)) / ((pa + pb) / 2 - pa * pb / (t * (t - 1) / 2)), 6) AS ari, round(2 * mi / (ha + hb), 6) AS nmi FROM x, y, z, t""")
@@ -252,7 +274,7 @@ def m15_agreement(spark, d):
 
 
 @query(f"""WITH v AS (SELECT vec_id, label::BIGINT AS label, embedding::DOUBLE[] AS v FROM embeddings), u AS (SELECT *, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS u FROM v),
-s AS (SELECT label, list(x ORDER BY i) AS s, max(n) AS n FROM (SELECT label, i, sum(x) AS x, count(*) AS n FROM (SELECT label, unnest(u) AS x, generate_subscripts(u, 1) AS i FROM u) GROUP BY 1, 2) GROUP BY label),
+{centroid_sql('u', 'ic', 'u')}, s AS (SELECT label, list(x ORDER BY i) AS s, max(n) AS n FROM (SELECT label, i, sum(x) AS x, count(*) AS n FROM (SELECT label, unnest(u) AS x, generate_subscripts(u, 1) AS i FROM u) GROUP BY 1, 2) GROUP BY label),
 d AS (SELECT u.vec_id, u.label = s.label AS own, CASE WHEN u.label = s.label THEN (n - list_dot_product(u, s)) / (n - 1) ELSE 1 - list_dot_product(u, s) / n END AS d FROM u, s),
 sil AS (SELECT avg((b - a) / greatest(a, b)) AS silhouette FROM (SELECT min(d) FILTER (WHERE own) AS a, min(d) FILTER (WHERE NOT own) AS b FROM d GROUP BY vec_id)),
 e AS (SELECT label, vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM v), m AS (SELECT label, i, avg(x) AS m, count(*) AS n FROM e GROUP BY 1, 2), g AS (SELECT i, avg(x) AS g FROM e GROUP BY 1),
@@ -260,7 +282,8 @@ w AS (SELECT sum((x - m) ^ 2) AS w FROM e JOIN m USING (label, i)), b AS (SELECT
 sp AS (SELECT label, avg(dist) AS d FROM (SELECT label, vec_id, sqrt(sum((x - m) ^ 2)) AS dist FROM e JOIN m USING (label, i) GROUP BY 1, 2) GROUP BY 1),
 mm AS (SELECT a.label AS a, b.label AS b, sqrt(sum((a.m - b.m) ^ 2)) AS dist FROM m a JOIN m b ON a.i = b.i AND a.label <> b.label GROUP BY 1, 2),
 db AS (SELECT avg(r) AS davies FROM (SELECT mm.a, max((x.d + y.d) / dist) AS r FROM mm JOIN sp x ON x.label = mm.a JOIN sp y ON y.label = mm.b GROUP BY 1))
-SELECT round(silhouette, 6) AS silhouette, round((b / ((SELECT count(*) FROM s) - 1)) / (w / ((SELECT count(*) FROM v) - (SELECT count(*) FROM s))), 6) AS calinski_harabasz, round(davies, 6) AS davies_bouldin FROM sil, w, b, db""")
+SELECT (SELECT round(avg(list_dot_product(u.u, ic.c)), 6) FROM u JOIN ic USING (label)) AS mean_intra_similarity, (SELECT round(max(list_dot_product(x.c, y.c)), 6) FROM ic x JOIN ic y ON x.label < y.label) AS max_centroid_similarity,
+round(silhouette, 6) AS silhouette, round((b / ((SELECT count(*) FROM s) - 1)) / (w / ((SELECT count(*) FROM v) - (SELECT count(*) FROM s))), 6) AS calinski_harabasz, round(davies, 6) AS davies_bouldin FROM sil, w, b, db""")
 def m14_geometry(spark, d):
     return E.geometry(embeddings(spark, d), "label", "embedding")
 

@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` where the cluster names it; else, in tests, a temporary folder that is made and set."""
+    """``spark.checkpoint.dir`` where the cluster names it; else, on a local master only, a temporary folder that is made and set."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
+        if not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = f"file://{tempfile.mkdtemp(prefix='threadloom-')}"
         context.setCheckpointDir(named)
     return named.rstrip("/")

@@ -1,4 +1,4 @@
-"""Writers: routed and ordered files, tables, reports, and publication with the manifest last."""
+"""Writers: routed and ordered files, tables, reports, and publication with the manifest last."""
 
 from __future__ import annotations
 
@@ -12,6 +12,8 @@ from uuid import uuid4
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from threadloom.operators.validation import demand, matrix_faults
+
 
 def file_digest(path: Path) -> str:
     """A27."""
@@ -35,6 +37,31 @@ def write_splits(df: DataFrame, path: str, split: str = "split") -> None:
     df.write.mode("error").partitionBy(split).json(path)
 
 
+def write_matrix(df: DataFrame, folder: str, key: str, vector: str, dims: int) -> str:
+    """A matrix of float32 rows in order of ``key``, checked first (V01); returns the table's path below ``folder``."""
+    demand(matrix_faults(df, vector, dims), "the matrix has faults")
+    path = f"{folder}/matrix-{uuid4().hex}"
+    df.select(key, F.col(vector).cast("array<float>").alias(vector)).repartitionByRange(key).sortWithinPartitions(key).write.parquet(path)
+    return path
+
+
+def report_bundle(folder: Path, name: str, title: str, rows: list[tuple[str, float]]) -> list[Path]:
+    """An aggregate as JSON, Markdown, CSV and SVG beside each other; refuses if one is there."""
+    out = {
+        "json": json.dumps({"title": title, "rows": [list(r) for r in rows]}, ensure_ascii=False, indent=1),
+        "md": markdown(title, rows),
+        "csv": "measure,value\n" + "".join(f"\"{str(k).replace(chr(34), chr(34) * 2)}\",{v}\n" for k, v in rows),
+        "svg": bar_chart(rows, title),
+    }
+    paths = [folder / f"{name}.{kind}" for kind in out]
+    if there := [p for p in paths if p.exists()]:
+        raise FileExistsError(there[0])
+    folder.mkdir(parents=True, exist_ok=True)
+    for path, text in zip(paths, out.values()):
+        path.write_text(text, encoding="utf-8")
+    return paths
+
+
 def write_table(df: DataFrame, path: str, order: list[str]) -> None:
     """An aggregate, which is small, as one CSV file with a header."""
     df.orderBy(*order).coalesce(1).write.mode("error").option("header", True).csv(path)
