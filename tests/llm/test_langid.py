@@ -39,6 +39,18 @@ def test_forward_sums_all_segmentations():
     assert np.isfinite(long).all() and (long < -1000).all()
 
 
+def test_long_words_in_batches_equal_the_plain_forward_pass(monkeypatch):
+    """Words of 33 to 3,000 characters, unspaced and with unknown characters: nothing underflows and all languages agree with one place at a time."""
+    monkeypatch.setattr(langid, "TOGETHER", 5_000)
+    vocabulary, longest, automaton = langid._pieces(PATH)
+    rng = random.Random(1)
+    words = ["".join(rng.choice("abcdeéß東京の\x01") for _ in range(n)) for n in (33, 40, 47, 48, 49, 64, 500, 3000)] + ["a" * 700, "short"]
+    p = np.random.default_rng(2).dirichlet(np.ones(len(vocabulary)), 3).T
+    found = langid.forward_all(words, vocabulary, longest, automaton, p)
+    assert np.isfinite(found).all()
+    assert np.allclose(found, [langid.forward(w, vocabulary, longest, p) for w in words])
+
+
 def test_expected_uses_match_brute_force():
     rng = np.random.default_rng(2)
     vocabulary = {w: i for i, w in enumerate(["a", "b", "ab", "ba"])}

@@ -44,8 +44,10 @@ SMOOTHING = 0.05
 #: Probability of a character that is no piece.
 UNKNOWN = 1e-7
 TABLE = 300_000
-#: Longer words are rescaled on their way and take the passes one at a time.
+#: Longer words are rescaled on their way.
 LONG = 32
+#: Characters of longer words that are scored together.
+TOGETHER = 200_000
 #: Characters of the parts that longer words are cut into for fitting.
 CUT = 24
 #: More labels than this are no languages but dirt: fitting refuses them.
@@ -85,7 +87,7 @@ def _pieces(path: str) -> tuple[dict[str, int], int, ahocorasick.Automaton]:
 
 
 class Lattice:
-    """The pieces in some words of at most LONG characters, as edges between places of one row of places."""
+    """The pieces in some words, as edges between places of one row of places."""
 
     def __init__(self, words: list[str], vocabulary: dict[str, int], automaton: ahocorasick.Automaton):
         text = "\n".join(words)
@@ -120,6 +122,28 @@ class Lattice:
                 out[t[new]] = np.add.reduceat(out[source[a:b]] * weight[a:b], new, axis=0)
         return out
 
+    def likelihood(self, p: np.ndarray, longest: int) -> np.ndarray:
+        """Log likelihood of each word of any length: every 16 places the last ``longest`` sums of a word are scaled to one, and the scale's logarithm is kept."""
+        out, log = np.zeros((self.places, p.shape[1])), np.zeros((len(self.first), p.shape[1]))
+        out[self.first] = 1.0
+        step = self.stop - self.first[self.word]
+        order = np.lexsort((self.stop, step))
+        source, target, piece, step = self.start[order], self.stop[order], self.piece[order], step[order]
+        bounds = np.searchsorted(step, np.arange(1, self.steps + 2))
+        sizes = self.last - self.first
+        for j, (a, b) in enumerate(zip(bounds, bounds[1:]), 1):
+            if a < b:
+                t = target[a:b]
+                new = np.flatnonzero(np.append(True, t[1:] != t[:-1]))
+                out[t[new]] = np.add.reduceat(out[source[a:b]] * p[piece[a:b]], new, axis=0)
+            if j % 16 == 0:
+                open_ = np.flatnonzero(sizes > j)
+                at = self.first[open_, None] + np.arange(max(0, j - longest), j + 1)
+                scale = out[at].max(axis=1)
+                out[at] /= scale[:, None]
+                log[open_] += np.log(scale)
+        return log + np.log(out[self.last])
+
     def before(self, p: np.ndarray) -> np.ndarray:
         return self._pass(p, self.first, self.start, self.stop, self.stop - self.first[self.word])
 
@@ -141,7 +165,7 @@ def automaton_of(vocabulary: dict[str, int]) -> ahocorasick.Automaton:
 
 
 def forward(word: str, vocabulary: dict[str, int], longest: int, p: np.ndarray) -> np.ndarray:
-    """Log likelihood of one word under each language, summed over segmentations; rescaled so that no length underflows."""
+    """Log likelihood of one word under each language, summed over segmentations, place by place; what ``forward_all`` must equal."""
     at, log = [np.ones(p.shape[1])], np.zeros(p.shape[1])
     for j in range(1, len(word) + 1):
         total, single = np.zeros(p.shape[1]), False
@@ -160,13 +184,16 @@ def forward(word: str, vocabulary: dict[str, int], longest: int, p: np.ndarray)
 def forward_all(words: list[str], vocabulary: dict[str, int], longest: int, automaton: ahocorasick.Automaton, p: np.ndarray) -> np.ndarray:
     """Log likelihood of each word under each language."""
     out = np.zeros((len(words), p.shape[1]))
-    short = [i for i, w in enumerate(words) if len(w) <= LONG and "\n" not in w]
+    short = [i for i, w in enumerate(words) if len(w) <= LONG]
     for at in range(0, len(short), 20_000):
         part = short[at : at + 20_000]
         lattice = Lattice([words[i] for i in part], vocabulary, automaton)
         out[part] = np.log(lattice.before(_extended(p))[lattice.last])
-    for i in set(range(len(words))).difference(short):
-        out[i] = forward(words[i], vocabulary, longest, p)
+    long = sorted(set(range(len(words))).difference(short), key=lambda i: len(words[i]))
+    while long:  # words of like length together, as many as hold about TOGETHER characters
+        n = max(1, min(len(long), TOGETHER // len(words[long[-1]])))
+        part, long = long[-n:], long[:-n]
+        out[part] = Lattice([words[i] for i in part], vocabulary, automaton).likelihood(_extended(p), longest)
     return out
 
 

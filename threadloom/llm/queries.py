@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from threadloom.llm import bpe, chat, counts, decontaminate, langid, sharding, simhash, substrings, warc, winnow
+from threadloom.sources.tables import spread
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
