@@ -24,7 +24,7 @@ from threadloom.operators import splitting as W
 from threadloom.operators import topics as O
 from threadloom.operators import validation as X
 from threadloom.operators import vectors as V
-from threadloom.plans import checks, models, topics
+from threadloom.plans import checks, models, runner, topics
 from threadloom.plans.runner import Runner, Snapshot
 from threadloom.sources import api, jsonl, shared, sinks
 from threadloom.streaming import ingest
@@ -370,3 +370,28 @@ def test_shared_folder_is_shared(spark):
     if not spark.conf.get("spark.checkpoint.dir", None):
         with pytest.raises(ValueError):
             shared.shared_dir(Session())
+
+
+def test_settings_are_checked():
+    for bad in ({"expansion": 1.5}, {"similarity": 2.0}, {"single_similarity": 0.1}, {"members": 0}):
+        with pytest.raises(ValueError):
+            A.Rules(**bad)
+    for bad in ({"min_length": -1}, {"min_length": 9, "max_length": 8}, {"url_handling": "x"}):
+        with pytest.raises(ValueError):
+            C.Gates(**bad)
+
+
+def test_smoke_runs_and_dry_runs(spark, tmp_path):
+    """A smoke run takes whole groups, has a folder of its own and can't be published; a dry run names what is missing."""
+    source = spark.range(400).selectExpr("id", "concat('g', id % 20) AS g")
+    stages = [("twice", lambda df: df.withColumn("x", F.col("id") * 2))]
+    state = runner.smoke(spark, tmp_path, stages, {}, source, F.col("g"), 50)
+    assert state["status"] == "done" and state["rows"] == 60 and not runner.publishable(state)
+    assert json.loads((tmp_path / "smoke/run.json").read_text())["smoke"]
+    assert spark.read.parquet(str(tmp_path / "smoke/twice.parquet")).groupBy("g").count().filter("count <> 20").count() == 0
+    whole = Runner(spark, tmp_path, stages, {})
+    assert runner.publishable(whole.run(source))
+    checks_of = lambda **k: {n: s for n, s, _ in whole.dry_run(source, **k).checks}
+    assert not whole.dry_run(source, key="id", columns=("id",)).blocked
+    found = checks_of(key="g", columns=("id", "lost"), resources={"model": str(tmp_path / "none")}, restart_from="nothing", vectors=10**15)
+    assert {k for k, v in found.items() if v == "blocked"} == {"ids", "columns", "resource model", "stages", "disk"}

@@ -1,4 +1,4 @@
-"""Text gates and exact deduplication."""
+"""Text gates and exact deduplication."""
 
 from __future__ import annotations
 
@@ -31,6 +31,11 @@ class Gates:
     spam: bool = False
     languages: tuple[str, ...] = ()
 
+    def __post_init__(self) -> None:
+        """V21."""
+        if self.min_length < 0 or (self.max_length is not None and self.max_length < self.min_length) or self.url_handling not in ("token", "remove", "keep"):
+            raise ValueError("lengths don't fall, and URLs become a token, go or stay")
+
 
 def prepare(df: DataFrame, text_col: str, gates: Gates = Gates()) -> DataFrame:
     """``df`` with clean_text, text_key and url_only."""

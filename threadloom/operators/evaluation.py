@@ -1,4 +1,4 @@
-"""Quality evaluation and privacy-safe export."""
+"""Quality evaluation and privacy-safe export."""
 
 from __future__ import annotations
 

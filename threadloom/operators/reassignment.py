@@ -27,6 +27,17 @@ class Rules:
     cohesion: float = 0.5
     centroid_similarity: float = 0.95
 
+    def __post_init__(self) -> None:
+        """Shares lie within [0, 1], similarities within [-1, 1], and one topic is held to no less than several."""
+        for name in ("expansion", "global_share", "topic_probability", "member_probability", "margin"):
+            if not 0 <= getattr(self, name) <= 1:
+                raise ValueError(f"{name} is within [0, 1]")
+        for name in ("similarity", "single_similarity", "cohesion", "centroid_similarity"):
+            if not -1 <= getattr(self, name) <= 1:
+                raise ValueError(f"{name} is within [-1, 1]")
+        if self.single_similarity < self.similarity or self.topic_size < 1 or self.members < 1 or (self.per_topic is not None and self.per_topic < 0):
+            raise ValueError("a single topic needs no less similarity, and counts are positive")
+
 
 def eligibility(df: DataFrame, label: str, probability: str, vector: str, rules: Rules, described: Column | None = None) -> DataFrame:
     """(label, size, centroid, cohesion, reason) per topic; ``reason`` is the first rule it fails, or null.
@@ -114,6 +125,17 @@ def final_summary(df: DataFrame) -> DataFrame:
     return inside.groupBy("final_label").agg(F.count_if(~F.col("reassigned")).alias("original"), F.count_if("reassigned").alias("reassigned"), F.round(F.count_if("reassigned") / F.greatest(F.count_if(~F.col("reassigned")), F.lit(1)), 6).alias("expansion"), F.round(F.avg(F.when(F.col("reassigned"), F.col("confidence"))), 6).alias("mean_similarity"), F.round(F.min(F.when(F.col("reassigned"), F.col("confidence"))), 6).alias("min_similarity"))
 
 
+def metrics(decisions: DataFrame, topics: DataFrame) -> DataFrame:
+    """Outliers, reassigned, their share, mean margin, the share of the topic that receives most, and topics that were excluded; one row."""
+    done = decisions.filter("reason = 'reassigned'")
+    largest = done.groupBy("best_topic").agg(F.count("*").alias("n")).agg(F.max("n").alias("largest"))
+    counts = decisions.agg(F.count("*").alias("outliers"), F.count_if(F.col("reason") == "reassigned").alias("reassigned"), F.round(F.avg(F.when(F.col("reason") == "reassigned", F.col("margin"))), 6).alias("mean_margin"))
+    excluded = topics.agg(F.count_if(F.col("reason").isNotNull()).alias("excluded_topics"))
+    one = counts.crossJoin(largest).crossJoin(excluded)  # one row each
+    share = lambda a, b: F.round(F.coalesce(F.try_divide(F.col(a), F.col(b)), F.lit(0.0)), 6)
+    return one.select("outliers", "reassigned", share("reassigned", "outliers").alias("reassigned_share"), "mean_margin", share("largest", "reassigned").alias("dominant_share"), "excluded_topics")
+
+
 def reasons(decisions: DataFrame) -> DataFrame:
     """A21."""
     return decisions.groupBy("reason").agg(F.count("*").alias("n"))

@@ -1,4 +1,4 @@
-"""Near-duplicate vectors: candidate pairs, components, groups, corpus."""
+"""Near-duplicate vectors: candidate pairs, components, groups, corpus."""
 
 from __future__ import annotations
 

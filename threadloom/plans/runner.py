@@ -11,8 +11,10 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
+from threadloom.operators.splitting import whole_groups
+from threadloom.operators.validation import id_faults
 from threadloom.sources.sinks import fingerprint
 
 Stage = Callable[[DataFrame], DataFrame]
@@ -63,12 +65,28 @@ class Runner:
             n += 1
         return n
 
-    def dry_run(self, source: DataFrame, expected: int | None = None, tolerance: float = 0.1, minimum_free: int = 0, restart_from: str | None = None) -> Plan:
-        """Reads only. Says what would run and whether rows, columns and disk space allow it."""
+    def dry_run(self, source: DataFrame, expected: int | None = None, tolerance: float = 0.1, minimum_free: int = 0, restart_from: str | None = None, columns: tuple[str, ...] = (), key: str | None = None, resources: dict[str, str] | None = None, vectors: int = 0) -> Plan:
+        """Reads only. Says what would run, and whether rows, columns, ids, named resources, the state of an earlier run and disk space allow it.
+
+        ``resources`` maps names to paths that must be there; ``vectors`` is the length of the vectors that stages will
+        write, from which the disk space is estimated: four times their float32 bytes, ``minimum_free`` at least.
+        """
         done = self.done(source, restart_from)
         plan = Plan([(n, "skip" if i < done else "run") for i, (n, _) in enumerate(self.stages)])
         n = fingerprint(source)[0]
         plan.checks.append(("rows", "ready" if n else "blocked", str(n)))
+        lost = [c for c in columns if c not in source.columns]
+        plan.checks.append(("columns", "blocked" if lost else "ready", ", ".join(lost)))
+        if key and key in source.columns:
+            faults = id_faults(source, key).first()
+            plan.checks.append(("ids", "blocked" if faults["blank"] or faults["repeated"] else "ready", f"{faults['blank']} blank, {faults['repeated']} repeated"))
+        for name, path in (resources or {}).items():
+            plan.checks.append((f"resource {name}", "ready" if Path(path).exists() else "blocked", path))
+        names = [x for x, _ in self.stages]
+        plan.checks.append(("stages", "blocked" if len(set(names)) < len(names) or (restart_from and restart_from not in names) else "ready", ", ".join(names)))
+        earlier = self.state().get("status")
+        plan.checks.append(("earlier run", "warning" if earlier in ("running", "failed") else "ready", str(earlier)))
+        minimum_free = max(minimum_free, 4 * n * vectors * 4)
         if expected:
             plan.checks.append(("expected_rows", "ready" if abs(n - expected) / expected <= tolerance else "warning", str(expected)))
         where = self.folder if self.folder.exists() else self.folder.parent
@@ -115,6 +133,20 @@ class Runner:
         return state
 
 
+def smoke(spark: SparkSession, folder: Path, stages: list[tuple[str, Stage]], config: dict, source: DataFrame, group: Column, target: int = 2_000, seed: int = 42, gates: dict | None = None) -> dict:
+    """The stages over whole groups of about ``target`` rows, in a folder of its own below ``folder``. Its state says that it is a smoke run, which is never published."""
+    sample = whole_groups(source, group, seed, target)
+    runner = Runner(spark, folder / "smoke", stages, config | {"smoke": target}, gates)
+    state = runner.run(sample) | {"smoke": True, "rows": fingerprint(sample)[0]}
+    runner._save(state)
+    return state
+
+
+def publishable(state: dict) -> bool:
+    """Whether a run's state allows publication: done, and no smoke run."""
+    return state.get("status") == "done" and not state.get("smoke")
+
+
 class Snapshot:
     """A loaded snapshot, loaded again when its manifest changes; the last good one stays if the new one doesn't load."""
 

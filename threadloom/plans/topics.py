@@ -6,6 +6,7 @@ from threadloom.functions import scalars as S
 from threadloom.operators import evaluation as E
 from threadloom.operators import reassignment as A
 from threadloom.operators import topics as O
+from threadloom.operators import validation as X
 from threadloom.operators import vectors as V
 from threadloom.plans.registry import query
 from threadloom.sources.shared import materialise
@@ -14,7 +15,7 @@ from threadloom.sources.tables import table
 #: The synthetic vectors lie far apart; with the usual 0.95 nothing would be near.
 NEAR = 0.35
 SHARE = 10
-RULES = A.Rules(similarity=0.1, margin=0.01, topic_probability=0.05, member_probability=0.1, members=3, cohesion=0.1, centroid_similarity=0.6)
+RULES = A.Rules(similarity=0.1, single_similarity=0.9, margin=0.01, topic_probability=0.05, member_probability=0.1, members=3, cohesion=0.1, centroid_similarity=0.6)
 
 
 def embeddings(spark, d):
@@ -30,11 +31,15 @@ def clustered(spark, d):
     return materialise(marked, "clustered")[0], n
 
 
-def decided(spark, d):
+def _decided(spark, d):
     rows, n = clustered(spark, d)
     topics, _ = materialise(A.eligibility(rows, "label", "probability", "embedding", RULES), "topics")
     found, _ = materialise(A.scored(rows.filter("label = -1"), "vec_id", "embedding", topics, "label", RULES), "decisions")
-    return rows, A.limited(found, "vec_id", topics, "label", n, RULES)
+    return rows, A.limited(found, "vec_id", topics, "label", n, RULES), topics
+
+
+def decided(spark, d):
+    return _decided(spark, d)[:2]
 
 
 def cos(a: str, b: str) -> str:
@@ -218,6 +223,22 @@ def a21_rejection_reasons(spark, d):
     return A.reasons(decided(spark, d)[1])
 
 
+METRICS = f"""WITH {DECIDED}, x AS (SELECT count(*) AS outliers, count(*) FILTER (WHERE reason = 'reassigned') AS reassigned, round(avg(margin) FILTER (WHERE reason = 'reassigned'), 6) AS mean_margin FROM de), l AS (SELECT max(n) AS largest FROM (SELECT count(*) AS n FROM de WHERE reason = 'reassigned' GROUP BY best_topic)),
+m AS (SELECT outliers, reassigned, round(coalesce(reassigned / nullif(outliers, 0), 0), 6) AS reassigned_share, mean_margin, round(coalesce(largest / nullif(reassigned, 0), 0), 6) AS dominant_share, (SELECT count(*) FROM sz) - (SELECT count(*) FROM el) AS excluded_topics FROM x, l)"""
+
+
+@query(f"{METRICS} SELECT * FROM m")
+def a21_reassignment_metrics(spark, d):
+    _, decisions, topics = _decided(spark, d)
+    return A.metrics(decisions, topics)
+
+
+@query(f"""{METRICS} SELECT list_filter([CASE WHEN reassigned_share > 0.2 THEN 'many reassigned' END, CASE WHEN mean_margin < 0.08 THEN 'low mean margin' END, CASE WHEN dominant_share > 0.5 THEN 'one topic receives most' END, CASE WHEN excluded_topics > 0 THEN 'topics excluded' END], lambda x: x IS NOT NULL) AS warnings FROM m""")
+def v16_reassignment_warnings(spark, d):
+    _, decisions, topics = _decided(spark, d)
+    return A.metrics(decisions, topics).select(X.reassignment_warnings().alias("warnings"))
+
+
 def _final(spark, d):
     rows, decisions = decided(spark, d)
     return A.final_labels(rows, "vec_id", "label", "probability", decisions)
