@@ -48,3 +48,12 @@ def test_edges(spark):
     found = sorted(((r["doc_id"], r["n_tokens"]) for r in counts.report(docs, PATH).collect()), key=str)
     assert found == sorted([(1, 0), (1, 2), (1, 2), (None, 0)], key=str)
     assert counts.report(docs.limit(0), PATH).count() == 0
+
+
+def test_both_passes_agree():
+    """The pass for words without unknown characters gives what the general one gives."""
+    counter = counts._counter(PATH)
+    rng = random.Random(4)
+    words = [counts.MARK + "".join(rng.choice("etaoinshrdluETAé0.,") for _ in range(rng.randrange(40))) for _ in range(3000)]
+    assert all(counter.single.issuperset(w) for w in words)
+    assert [counter._known(w) for w in words] == [counter._word(w) for w in words]

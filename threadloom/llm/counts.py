@@ -58,8 +58,21 @@ class Counter:
         self.floor = min(s for _, s in pieces) - PENALTY
         names = {p for p, _ in pieces}
         self.bytes = byte_fallback and all(f"<0x{b:02X}>" in names for b in range(256))
+        self.single = {p for p in names if len(p) == 1}
         self.table: dict[str, int] = {}
 
+    def _known(self, word: str) -> int:
+        """``_word`` of a word whose characters all are pieces, so that nothing in it is unknown. The automaton tells the pieces that end at a place longest first."""
+        n = len(word) + 1
+        score, count = [-math.inf] * n, [0] * n
+        score[0] = 0.0
+        for i, (length, s) in self.automaton.iter(word):
+            i += 1
+            total = score[i - length] + s
+            if total > score[i]:
+                score[i], count[i] = total, count[i - length] + 1
+        return count[-1]
+
     def _word(self, word: str) -> int:
         """Best segmentation's number of tokens."""
         n = len(word)
@@ -95,7 +108,7 @@ class Counter:
         if len(self.table) > TABLE:
             self.table.clear()
         for w in set(words).difference(self.table):
-            self.table[w] = self._word(w)
+            self.table[w] = self._known(w) if self.single.issuperset(w) else self._word(w)
         return sum(map(self.table.__getitem__, words))
 
     @staticmethod
