@@ -168,17 +168,18 @@ def nearest(df: DataFrame, queries: DataFrame, key: str, vector: str, k: int, bl
 def components(edges: DataFrame, left: str = "left", right: str = "right") -> DataFrame:
     """(v, root), the smallest vertex of each vertex's component, by alternating large and small stars.
 
-    Each round is written to the shared folder; rounds grow with the logarithm of a component's size.
+    Each round is written to the shared folder; rounds grow with the logarithm of a component's size. A round
+    has two shuffles, both by ``u``, and no join, since the driver holds the plans of all of them.
     """
-    spark = edges.sparkSession
+    spark, of_u = edges.sparkSession, Window.partitionBy("u")
     e, path = materialise(edges.select(F.greatest(left, right).alias("u"), F.least(left, right).alias("v")), "edges")
     state = None
     while True:
-        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter(F.col("u") != F.col("v")).union(low.select("u", F.col("m").alias("v"))).distinct()
+        both = e.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
+        least = both.withColumn("m", F.least(F.min("v").over(of_u), F.col("u"))).filter(F.col("v") > F.col("u"))
+        large = least.select(F.col("v").alias("u"), F.col("m").alias("v")).repartition("u").distinct()
+        # an edge to the smallest neighbour stays, and each other neighbour gets one to it; what repeats goes in the next round
+        small = large.withColumn("m", F.min("v").over(of_u)).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         done, new_path = materialise(small, "edges")
         remove(spark, path)
         e, path = done, new_path
