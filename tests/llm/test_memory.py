@@ -1,8 +1,12 @@
-"""What bounds the memory of the driver."""
+"""What bounds the memory of the driver and of the Python workers over many stages."""
 
+import gc
 import random
+import tracemalloc
 
-from threadloom.llm import simhash
+import public_tokenizers
+
+from threadloom.llm import bpe, langid, simhash
 
 
 def test_rounds_of_components_are_small(spark):
@@ -22,3 +26,23 @@ def test_rounds_of_components_are_small(spark):
     assert found == {x: root[x] for a, b in edges if a != b for x in (a, b)}
     jobs = [context.statusTracker().getJobInfo(j) for j in context.statusTracker().getJobIdsForGroup("components")]
     assert sum(len(j.stageIds) for j in jobs) < 60
+
+
+def test_a_worker_keeps_one_operators_tables():
+    langid._pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    bpe._bpe(public_tokenizers.path("byte_bpe_50k.json"))
+    langid._pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    gc.collect()
+    assert not any(isinstance(x, bpe.Bpe) for x in gc.get_objects())
+
+
+def test_new_words_are_merged_in_parts():
+    coder = bpe.Bpe(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(6)
+    text = " ".join("".join(rng.choices("abcdefghij", k=9)) for _ in range(100_000))
+    whole = coder.words([text])[0]
+    tracemalloc.start()
+    ids = coder.encode_batch([text])[0]
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    assert (ids == whole).all() and peak < 70

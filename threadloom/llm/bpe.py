@@ -34,6 +34,8 @@ from threadloom.llm.common import worker_cache
 
 #: Chunks that a worker keeps; beyond that its table starts anew.
 TABLE = 250_000
+#: New chunks that are merged together.
+PART = 20_000
 #: Bytes of the longest word that goes through the rounds.
 ROUNDS_UP_TO = 512
 _PRE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -175,8 +177,13 @@ class Bpe:
         return [first, *[" " + x for x in rest]]
 
     def _add(self, new: list[str]) -> None:
-        ids, owner = self.words(new)
-        lengths = np.bincount(owner, minlength=len(new)).astype(np.int64)
+        ids, lengths = [], []
+        for at in range(0, len(new), PART):
+            part = new[at : at + PART]
+            found, owner = self.words(part)
+            ids.append(found)
+            lengths.append(np.bincount(owner, minlength=len(part)).astype(np.int64))
+        ids, lengths = np.concatenate(ids), np.concatenate(lengths)
         starts = len(self.flat) + np.cumsum(lengths) - lengths
         for n, c in enumerate(new, len(self.number)):
             self.number[c] = n
@@ -222,7 +229,7 @@ _CUT = re.compile(r"(?= \S)")
 
 def _bpe(path: str) -> Bpe:
     """A worker loads a tokenizer once."""
-    cache = worker_cache()
+    cache = worker_cache("bpe")
     if ("bpe", path) not in cache:
         cache["bpe", path] = Bpe(path)
     return cache["bpe", path]

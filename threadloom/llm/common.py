@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.sources.shared import materialise, remove, shared_dir
 
-__all__ = ["lower_ascii", "materialise", "new_path", "remove", "shared_dir", "unused", "worker_cache"]
+__all__ = ["give_back", "lower_ascii", "materialise", "new_path", "remove", "shared_dir", "unused", "worker_cache"]
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -35,6 +38,20 @@ def unused(columns: list[str], name: str) -> str:
     return name
 
 
-def worker_cache() -> dict:
-    """What a Python worker keeps from task to task, such as a loaded vocabulary."""
-    return sys.modules.setdefault("_threadloom_worker", types.ModuleType("_threadloom_worker")).__dict__
+def worker_cache(owner: str) -> dict:
+    """What a Python worker keeps for an operator from task to task, such as a loaded vocabulary. What it kept for another one goes first, so that a worker that serves several stages never holds the tables of two."""
+    held = sys.modules.setdefault("_threadloom_worker", types.ModuleType("_threadloom_worker")).__dict__
+    if held.get("owner") != owner:
+        if "owner" in held:
+            held.pop("kept").clear()
+            give_back()
+        held |= {"owner": owner, "kept": {}}
+    return held["kept"]
+
+
+def give_back() -> None:
+    """Returns memory that is free within this process to the system, as far as the allocators can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux" and (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)):
+        trim(0)

@@ -121,7 +121,7 @@ class Counter:
 
 
 def _counter(path: str) -> Counter:
-    cache = worker_cache()
+    cache = worker_cache("counts")
     if ("counter", path) not in cache:
         cache["counter", path] = Counter(vocabulary(path))
     return cache["counter", path]

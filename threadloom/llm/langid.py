@@ -46,6 +46,8 @@ UNKNOWN = 1e-7
 TABLE = 300_000
 #: Longer words are rescaled on their way.
 LONG = 32
+#: Words of up to LONG characters that are scored together.
+PART = 5_000
 #: Characters of longer words that are scored together.
 TOGETHER = 200_000
 #: Characters of the parts that longer words are cut into for fitting.
@@ -79,7 +81,7 @@ def pieces(path: str) -> dict[str, int]:
 
 
 def _pieces(path: str) -> tuple[dict[str, int], int, ahocorasick.Automaton]:
-    cache = worker_cache()
+    cache = worker_cache("langid")
     if ("pieces", path) not in cache:
         found = pieces(path)
         cache["pieces", path] = found, max(map(len, found)), automaton_of(found)
@@ -185,8 +187,8 @@ def forward_all(words: list[str], vocabulary: dict[str, int], longest: int, auto
     """Log likelihood of each word under each language."""
     out = np.zeros((len(words), p.shape[1]))
     short = [i for i, w in enumerate(words) if len(w) <= LONG]
-    for at in range(0, len(short), 20_000):
-        part = short[at : at + 20_000]
+    for at in range(0, len(short), PART):
+        part = short[at : at + PART]
         lattice = Lattice([words[i] for i in part], vocabulary, automaton)
         out[part] = np.log(lattice.before(_extended(p))[lattice.last])
     long = sorted(set(range(len(words))).difference(short), key=lambda i: len(words[i]))
@@ -309,7 +311,7 @@ def identify(df: DataFrame, model: Model, text_col: str = "text", lang_out: str
     shared, key = df.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = worker_cache()
+        cache = worker_cache("langid")
         if cache.get("scorer", (None,))[0] != key:
             cache["scorer"] = key, Scorer(shared.value)
         scorer = cache["scorer"][1]

@@ -90,7 +90,7 @@ _SPAN = "s int, k1 long, k2 long, lo int, hi int"
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Table of byte values, powers of the base and of its inverse modulo 2^64, for texts of up to n bytes."""
-    cache = worker_cache()
+    cache = worker_cache("substrings")
     if "powers" not in cache or len(cache["powers"][1]) < n:
         size = max(1 << 17, 1 << (n - 1).bit_length())
         of_byte = np.random.default_rng(20).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
