@@ -363,3 +363,14 @@ def test_edited_texts_and_successors(spark, monkeypatch, size):
     assert found[50]["fingerprint"] == found[52]["fingerprint"]
     assert winnow.report(docs.limit(0)).count() == 0
     assert winnow.report(docs_of(spark, [(None, "a b"), (None, "c d"), (1, "x"), (1, "x")])).count() == 4
+
+
+def test_pairs_are_never_broadcast(spark, tmp_path):
+    # the planner takes the rows behind an explode for as many as before it, so a small file was broadcast 112-fold
+    spark.range(1000).select(F.array(F.xxhash64("id"), F.xxhash64(F.lit(1), "id")).alias("fp"), F.col("id").alias("doc")).write.parquet(str(tmp_path / "fps"))
+    nodes = spark.read.parquet(str(tmp_path / "fps")).groupBy("fp").agg(F.count("*").alias("n"))
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") in ("10485760b", "10MB", "10485760")
+    for rule, rows in ((simhash.WORDS, nodes), (simhash.SHINGLES, nodes.select(F.get("fp", F.lit(0)).alias("fp")))):
+        pairs = simhash.close_pairs(rows, rule)
+        pairs.collect()
+        assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()

@@ -117,7 +117,8 @@ def close_pairs(distinct: DataFrame, rule: Rule = SHINGLES) -> DataFrame:
     apart = sum([F.bit_count(x) for x in differ], F.lit(0))
     equal = [(x, m) for x in differ for m in masks]
     first = F.coalesce(*[F.when(x.bitwiseAND(F.lit(m)) == 0, F.lit(i)) for i, (x, m) in enumerate(equal)])
-    met = a.join(b, ["choice", "key"]).filter((F.col("a") < F.col("b")) & (apart <= rule.distance))
+    # never broadcast: the planner takes the rows for as many as before the explode, so a table of 10 MB would send some GB through the driver
+    met = a.join(b.hint("merge"), ["choice", "key"]).filter((F.col("a") < F.col("b")) & (apart <= rule.distance))
     return met.filter(F.col("choice") == first).select("a", "b")
 
 
