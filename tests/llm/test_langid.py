@@ -123,3 +123,14 @@ def test_a_score_of_the_users_own_stays(spark):
     docs = spark.createDataFrame([(i, "the cat and the dog", "en", 7, "z") for i in range(9)], "doc_id long, text string, lang string, _score int, _lang_pred string")
     kept = langid.keep_known(docs, PATH)
     assert kept.columns == docs.columns and all(r["_score"] == 7 and r["_lang_pred"] == "z" for r in kept.collect())
+
+
+def test_pieces_are_followed_from_all_places_at_once():
+    rng = random.Random(3)
+    for trial in range(30):
+        letters = "ab" if trial % 2 else "abcé\U0001F600"
+        vocabulary = {w: i for i, w in enumerate(sorted({"".join(rng.choices(letters, k=rng.randint(1, 5))) for _ in range(rng.randint(0, 12))}))}
+        text = "".join(rng.choices(letters + "x\n", k=rng.randint(0, 40)))
+        want = sorted((j, i, vocabulary[text[i:j]], j - i) for i in range(len(text)) for j in range(i + 1, len(text) + 1) if text[i:j] in vocabulary)
+        stop, piece, size = (x.tolist() for x in langid.Trie(vocabulary).find(text))
+        assert list(zip(stop, piece, size)) == [(j, n, k) for j, _, n, k in want]

@@ -5,6 +5,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 
 from threadloom.llm import substrings as s
 
@@ -162,3 +163,13 @@ def test_construction_by_itself():
     found = s.repeated_starts([base, bytes(other), base[::-1]], np.array([300, 300, 300]))
     assert found[:, 2].sum() == 0
     assert found[:, 0].tolist() == [x < 250 for x in range(301)] == found[:, 1].tolist()
+
+
+def test_strings_of_crowded_anchors_go_out_in_few_batches():
+    shape = s.Shape(8, 4)
+    texts = [bytes(f"{i:04d}abcdefgh", "ascii") for i in range(1200)]
+    run = s._pack(np.full(1200, 5), np.full(1200, 9), np.full(1200, 9))
+    rows = pa.RecordBatch.from_arrays([pa.array(np.zeros(1200, np.int32)), pa.array(run), pa.array(np.arange(1200)), pa.array(np.arange(1200) + 7), pa.array(np.ones(1200, np.int32)), pa.array(texts, pa.binary())], names=["s", "run", "k1", "k2", "kind", "bytes"])
+    found = list(s._hot_windows(iter([rows]), [shape]))
+    want = [(0, xxhash.xxh3_128_digest(t[i : i + 8]), k, k + 7, 5 + i, 1) for k, t in enumerate(texts) for i in range(5)]
+    assert [tuple(r.values()) for b in found for r in b.to_pylist()] == want and len(found) == 3

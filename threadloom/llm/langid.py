@@ -10,7 +10,7 @@ Words are what white space separates in the lower-cased text, each led by the vo
 piece crosses a word, so a text's likelihood is the product over its words, and
 a worker scores a distinct word once (in a table of bounded size). A character
 that is no piece has one small probability under every language. Many words go
-through the passes together: an Aho-Corasick automaton lists the pieces in all
+through the passes together: a trie is followed from all places to list the pieces in all
 of them, and each step adds up, in numpy, the pieces that end (or begin) at one place of any word.
 
 Fitting reads at most about ``SAMPLE_ROWS`` labelled rows (expected number, the
@@ -26,9 +26,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import islice
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -80,21 +79,64 @@ def pieces(path: str) -> dict[str, int]:
     return {name: i for i, name in enumerate(names)}
 
 
-def _pieces(path: str) -> tuple[dict[str, int], int, ahocorasick.Automaton]:
+def _pieces(path: str) -> tuple[dict[str, int], int, Trie]:
     cache = worker_cache("langid")
     if ("pieces", path) not in cache:
         found = pieces(path)
-        cache["pieces", path] = found, max(map(len, found)), automaton_of(found)
+        cache["pieces", path] = found, max(map(len, found)), Trie(found)
     return cache["pieces", path]
 
 
+class Trie:
+    """The pieces of a vocabulary, followed from all places of a text at once. Nodes are numbers, 0 the root; an edge is its node times the number of known characters, plus the character's place among them."""
+
+    def __init__(self, vocabulary: dict[str, int]):
+        self.chars = np.unique(np.fromiter(map(ord, "".join(vocabulary)), np.int64))
+        place, width = {chr(c): i for i, c in enumerate(self.chars.tolist())}, max(len(self.chars), 1)
+        edges: dict[int, int] = {}
+        ends = {}
+        for word, n in vocabulary.items():
+            node = 0
+            for c in word:
+                node = edges.setdefault(node * width + place[c], len(edges) + 1)
+            ends[node] = n
+        self.edges = np.fromiter(edges, np.int64, len(edges))
+        self.nodes = np.argsort(self.edges)
+        self.edges = self.edges[self.nodes]
+        self.nodes += 1  # edges were made in the order of their nodes
+        self.piece = np.full(len(edges) + 1, -1)
+        self.piece[np.fromiter(ends, np.int64, len(ends))] = np.fromiter(ends.values(), np.int64, len(ends))
+
+    def find(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where each piece in ``text`` stops, its number and its size; by stop, the longest first."""
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        if text and len(self.edges):
+            code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+            at = np.minimum(np.searchsorted(self.chars, code), len(self.chars) - 1)
+            code = np.append(np.where(self.chars[at] == code, at, -1), -1)  # -1 ends every piece, as the end of the text does
+            place, node, size = np.arange(len(text)), np.zeros(len(text), np.int64), 0
+            while len(place):
+                c = code[place + size]
+                key = node * len(self.chars) + c
+                edge = np.minimum(np.searchsorted(self.edges, key), len(self.edges) - 1)
+                on = (c >= 0) & (self.edges[edge] == key)
+                place, node, size = place[on], self.nodes[edge[on]], size + 1
+                piece = self.piece[node]
+                known = piece >= 0
+                found.append((place[known] + size, piece[known], np.full(int(known.sum()), size)))
+        if not found:
+            return (np.zeros(0, np.int64),) * 3
+        stop, piece, size = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(stop << 5 | 31 - size)
+        return stop[order], piece[order], size[order]
+
+
 class Lattice:
     """The pieces in some words, as edges between places of one row of places."""
 
-    def __init__(self, words: list[str], vocabulary: dict[str, int], automaton: ahocorasick.Automaton):
+    def __init__(self, words: list[str], vocabulary: dict[str, int], trie: Trie):
         text = "\n".join(words)
-        found = np.fromiter(chain.from_iterable(automaton.iter(text)), np.int64).reshape(-1, 2)
-        stop, piece, size = found[:, 0] + 1, found[:, 1] >> 5, found[:, 1] & 31
+        stop, piece, size = trie.find(text)
         single = np.zeros(len(text) + 1, bool)
         single[stop[size == 1]] = True
         sizes = np.fromiter(map(len, words), np.int64, len(words))
@@ -158,12 +200,8 @@ def _extended(p: np.ndarray) -> np.ndarray:
     return np.concatenate([p, np.full((1, p.shape[1]), UNKNOWN)])
 
 
-def automaton_of(vocabulary: dict[str, int]) -> ahocorasick.Automaton:
-    found = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-    for piece, n in vocabulary.items():
-        found.add_word(piece, n << 5 | len(piece))
-    found.make_automaton()
-    return found
+def automaton_of(vocabulary: dict[str, int]) -> Trie:
+    return Trie(vocabulary)
 
 
 def forward(word: str, vocabulary: dict[str, int], longest: int, p: np.ndarray) -> np.ndarray:
@@ -183,25 +221,25 @@ def forward(word: str, vocabulary: dict[str, int], longest: int, p: np.ndarray)
     return log + np.log(at[-1])
 
 
-def forward_all(words: list[str], vocabulary: dict[str, int], longest: int, automaton: ahocorasick.Automaton, p: np.ndarray) -> np.ndarray:
+def forward_all(words: list[str], vocabulary: dict[str, int], longest: int, trie: Trie, p: np.ndarray) -> np.ndarray:
     """Log likelihood of each word under each language."""
     out = np.zeros((len(words), p.shape[1]))
     short = [i for i, w in enumerate(words) if len(w) <= LONG]
     for at in range(0, len(short), PART):
         part = short[at : at + PART]
-        lattice = Lattice([words[i] for i in part], vocabulary, automaton)
+        lattice = Lattice([words[i] for i in part], vocabulary, trie)
         out[part] = np.log(lattice.before(_extended(p))[lattice.last])
     long = sorted(set(range(len(words))).difference(short), key=lambda i: len(words[i]))
     while long:  # words of like length together, as many as hold about TOGETHER characters
         n = max(1, min(len(long), TOGETHER // len(words[long[-1]])))
         part, long = long[-n:], long[:-n]
-        out[part] = Lattice([words[i] for i in part], vocabulary, automaton).likelihood(_extended(p), longest)
+        out[part] = Lattice([words[i] for i in part], vocabulary, trie).likelihood(_extended(p), longest)
     return out
 
 
-def expected(words: list[str], weights: np.ndarray, vocabulary: dict[str, int], automaton: ahocorasick.Automaton, p: np.ndarray) -> np.ndarray:
+def expected(words: list[str], weights: np.ndarray, vocabulary: dict[str, int], trie: Trie, p: np.ndarray) -> np.ndarray:
     """Expected uses of each piece in the words (of at most LONG characters) under each language, a word counting ``weights[word, language]`` times."""
-    lattice, q = Lattice(words, vocabulary, automaton), _extended(p)
+    lattice, q = Lattice(words, vocabulary, trie), _extended(p)
     before, after = lattice.before(q), lattice.after(q)
     whole = np.maximum(before[lattice.last], 1e-300)
     use = before[lattice.start] * q[lattice.piece] * after[lattice.stop] * (weights / whole)[lattice.word]
@@ -245,11 +283,11 @@ def train(documents: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
         shared = spark.sparkContext.broadcast(p)
 
         def step(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            vocab, _, automaton = _pieces(vocabulary)
+            vocab, _, trie = _pieces(vocabulary)
             q, total = shared.value, np.zeros((len(vocab), n_lang))
             for b in batches:
                 weights = np.stack([b.column(f"n{i}").to_numpy() for i in range(n_lang)], axis=1)
-                total += expected(b.column("word").to_pylist(), weights, vocab, automaton, q)
+                total += expected(b.column("word").to_pylist(), weights, vocab, trie, q)
             piece, lang = np.nonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(piece, pa.int32()), pa.array(lang, pa.int32()), pa.array(total[piece, lang])], names=["piece", "lang", "uses"])
 
@@ -263,41 +301,48 @@ def train(documents: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
     return Model(vocabulary, languages, np.log(weight / weight.sum()), p)
 
 
+class Numbers(dict):
+    """Words by number; one that is asked for the first time gets the next."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 class Scorer:
     """Scores texts under a model, with a table of the words it has met."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.vocabulary, self.longest, self.automaton = _pieces(model.vocabulary)
+        self.vocabulary, self.longest, self.trie = _pieces(model.vocabulary)
         self.letter = regex.compile(r"\p{L}")
         self._clear()
 
     def _clear(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number, self.known = Numbers(), 0
         self.rows = np.zeros((1024, len(self.model.languages)))
 
-    def _learn(self, words: set[str]) -> None:
-        """Scores the words that the table lacks."""
-        if len(self.number) > TABLE:
-            self._clear()
-        new = sorted(words.difference(self.number))
-        need = len(self.number) + len(new)
+    def _learn(self) -> None:
+        """Scores the words that were numbered since the last time."""
+        new, need = list(islice(reversed(self.number), len(self.number) - self.known))[::-1], len(self.number)
         if need > len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros((need, self.rows.shape[1]))])
-        self.rows[len(self.number) : need] = forward_all([MARK + w for w in new], self.vocabulary, self.longest, self.automaton, self.model.p)
-        for n, w in enumerate(new, len(self.number)):
-            self.number[w] = n
+        self.rows[self.known : need] = forward_all([MARK + w for w in new], self.vocabulary, self.longest, self.trie, self.model.p)
+        self.known = need
 
     def score(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """The likeliest language of each text and its posterior probability."""
         split = [t.lower().split() if t and self.model.languages and self.letter.search(t) else None for t in texts]
-        self._learn({w for words in split if words for w in words})
+        if len(self.number) > TABLE:
+            self._clear()
+        numbers = [None if words is None else np.fromiter(map(self.number.__getitem__, words), np.int64, len(words)) for words in split]
+        self._learn()
         out = []
-        for words in split:
+        for words in numbers:
             if words is None:
                 out.append((UNDETERMINED, 0.0))
                 continue
-            log = self.rows[np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))].sum(axis=0) + self.model.prior
+            log = self.rows[words].sum(axis=0) + self.model.prior
             odds = np.exp(log - log.max())
             best = int(np.argmax(log))
             out.append((self.model.languages[best], float(odds[best] / odds.sum())))

@@ -78,6 +78,8 @@ WORDS_50 = Shape(200, 50, 51)
 HOT = 20_000
 #: Contexts that one construction takes at least, if there are so many.
 BATCH = 8_000
+#: Contexts of crowded anchors whose strings go out together.
+TOGETHER = 500
 #: Bytes of text that are looked at together when equal contexts are folded.
 SLICE = 8_000_000
 _LOW = np.uint64((1 << 31) - 1)
@@ -344,13 +346,19 @@ def _context_rows(batches: Iterator[pa.RecordBatch], shapes: list[Shape]) -> Ite
 
 
 def _hot_windows(batches: Iterator[pa.RecordBatch], shapes: list[Shape]) -> Iterator[pa.RecordBatch]:
-    """Each string of a context by 128 bits of hash; anchors that very many contexts share are counted so."""
-    for b in batches:
-        for s, run, k1, k2, kind, data in zip(*[b.column(c).to_pylist() for c in ("s", "run", "k1", "k2", "kind", "bytes")]):
+    """Each string of a context by 128 bits of hash; anchors that very many contexts share are counted so. The strings of ``TOGETHER`` contexts go out together."""
+    digest = xxhash.xxh3_128_digest
+    for whole in batches:
+        for at in range(0, whole.num_rows, TOGETHER):
+            b = whole.slice(at, TOGETHER)
+            s, run, k1, k2, kind = (b.column(c).to_numpy() for c in ("s", "run", "k1", "k2", "kind"))
             lo, hi, _ = _unpack(run)
-            digests = [xxhash.xxh3_128_digest(data[i : i + shapes[s].length]) for i in range(hi - lo + 1)]
-            n = len(digests)
-            yield pa.RecordBatch.from_arrays([pa.array([s] * n, pa.int32()), pa.array(digests, pa.binary()), pa.array([k1] * n), pa.array([k2] * n), pa.array(np.arange(lo, hi + 1, dtype=np.int32)), pa.array([kind] * n, pa.int32())], names=["s", "digest", "k1", "k2", "lo", "kind"])
+            n = hi - lo + 1
+            width = [shapes[x].length for x in s.tolist()]
+            digests = [digest(data[i : i + w]) for data, w, m in zip(b.column("bytes").to_pylist(), width, n.tolist()) for i in range(m)]
+            places = np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)
+            columns = [pa.array(np.repeat(s, n)), pa.array(digests, pa.binary()), *[pa.array(np.repeat(x, n)) for x in (k1, k2)], pa.array(places.astype(np.int32)), pa.array(np.repeat(kind, n))]
+            yield pa.RecordBatch.from_arrays(columns, names=["s", "digest", "k1", "k2", "lo", "kind"])
 
 
 def repeats(documents: DataFrame, shapes: list[Shape], text_col: str = "text", keep: str = "none", hot: int = HOT) -> DataFrame:
