@@ -395,3 +395,11 @@ def test_smoke_runs_and_dry_runs(spark, tmp_path):
     assert not whole.dry_run(source, key="id", columns=("id",)).blocked
     found = checks_of(key="g", columns=("id", "lost"), resources={"model": str(tmp_path / "none")}, restart_from="nothing", vectors=10**15)
     assert {k for k, v in found.items() if v == "blocked"} == {"ids", "columns", "resource model", "stages", "disk"}
+
+
+def test_entities_that_a_semicolon_closes(spark):
+    rows = ["cut &amp", "a &amp; b", "&amp;lt; &copy y &copy; &#39; &#x41; &nope; &notit; &middot", None]
+    df = spark.createDataFrame([(x,) for x in rows], "t string").select(T.unescaped_nfkc(F.col("t"), closed=True), T.unescaped_nfkc(F.col("t")))
+    closed, open_ = zip(*df.collect())
+    assert list(closed) == ["cut &amp", "a & b", "&lt; &copy y © ' A &nope; &notit; &middot", None]
+    assert open_[0] == "cut &" and open_[2].startswith("&lt; © y")

@@ -10,6 +10,8 @@ from threadloom.operators import threads as H
 from threadloom.plans.registry import query
 from threadloom.sources.tables import table
 
+#: The SQL replaces whole entities only, so one that a page's title breaks off stays.
+GATES = C.Gates(closed_entities=True)
 SPACE = r"[\s\x0B\x1C-\x1F\x{85}\p{Z}]+"
 
 
@@ -50,7 +52,7 @@ WHEN NOT regexp_matches(clean_text, '[\\p{{L}}\\p{{N}}]') THEN 'no_alphanumeric'
 @query(f"WITH s AS (SELECT doc_id, text AS source_text, lang FROM documents), {prepared('s', 'doc_id', 'source_text')} SELECT lang, {GATE} AS reason, count(*) AS n FROM p GROUP BY ALL")
 def g01_cleaning_reasons(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "lang", "text")
-    return C.classified(C.prepare(docs, "text"), "text").groupBy("lang", "reason").agg(F.count("*").alias("n"))
+    return C.classified(C.prepare(docs, "text", GATES), "text", GATES).groupBy("lang", "reason").agg(F.count("*").alias("n"))
 
 
 CLEANED = f"""s AS (SELECT doc_id, text AS source_text, lang FROM documents), {prepared('s', 'doc_id', 'source_text')},
@@ -62,13 +64,13 @@ w AS (SELECT *, min(doc_id) FILTER (WHERE gate = 'keep') OVER (PARTITION BY text
 def a12_document_cleaning(spark, d):
     """The flagship: prepare, classify, deduplicate, count."""
     docs = table(spark, d, "documents").select("doc_id", "lang", "text", F.lit("comment").alias("kind"))
-    return C.cleaned(docs, "text", "kind", "doc_id", keep=("lang",)).groupBy("lang", "reason").agg(F.count("*").alias("n"))
+    return C.cleaned(docs, "text", "kind", "doc_id", GATES, keep=("lang",)).groupBy("lang", "reason").agg(F.count("*").alias("n"))
 
 
 @query(f"""WITH {CLEANED} SELECT doc_id, rep AS representative, dups AS duplicate_count, sha256(text_key) AS key_sha256 FROM w WHERE gate = 'keep'""")
 def w01_exact_dedup(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text", F.lit("comment").alias("kind"))
-    rows = C.cleaned(docs, "text", "kind", "doc_id").filter(F.col("reason").isin("keep", "exact_duplicate"))
+    rows = C.cleaned(docs, "text", "kind", "doc_id", GATES).filter(F.col("reason").isin("keep", "exact_duplicate"))
     return rows.select("doc_id", "representative", "duplicate_count", "key_sha256")
 
 
@@ -78,7 +80,7 @@ w AS (SELECT *, min(row_index) FILTER (WHERE gate = 'keep') OVER (PARTITION BY k
 SELECT kind, CASE WHEN gate = 'keep' AND row_index <> rep THEN 'exact_duplicate' ELSE gate END AS reason, count(*) AS n FROM w GROUP BY ALL""")
 def a12_cleaning_stats(spark, d):
     turns = table(spark, d, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("row_index"), F.when(F.col("turn") == 0, "comment").otherwise("reply").alias("kind"), "text")
-    return C.cleaned(turns, "text", "kind", "row_index").groupBy("kind", "reason").agg(F.count("*").alias("n"))
+    return C.cleaned(turns, "text", "kind", "row_index", GATES).groupBy("kind", "reason").agg(F.count("*").alias("n"))
 
 
 @query(r"""SELECT doc_id, CASE WHEN trim(text) = '' THEN 'empty' WHEN length(trim(text, E' \n\t\r')) < 20 THEN 'too_short' WHEN NOT regexp_matches(lower(text), '[а-яёa-z]') THEN 'too_short'
@@ -104,7 +106,7 @@ def g05_page_noise(spark, d):
 
 @query(f"""WITH {prepared('pages', 'page_id', 'html')} SELECT page_id, url_only, sha256(clean_text) AS clean_sha256, sha256(text_key) AS key_sha256 FROM p""")
 def f11_prepared_text(spark, d):
-    rows = C.prepare(table(spark, d, "pages").select("page_id", "html"), "html")
+    rows = C.prepare(table(spark, d, "pages").select("page_id", "html"), "html", GATES)
     return rows.select("page_id", "url_only", F.sha2("clean_text", 256).alias("clean_sha256"), F.sha2("text_key", 256).alias("key_sha256"))
 
 
