@@ -403,3 +403,8 @@ def test_entities_that_a_semicolon_closes(spark):
     closed, open_ = zip(*df.collect())
     assert list(closed) == ["cut &amp", "a & b", "&lt; &copy y © ' A &nope; &notit; &middot", None]
     assert open_[0] == "cut &" and open_[2].startswith("&lt; © y")
+
+
+def test_a_language_is_found_in_one_split(spark):
+    plan = spark.range(1).select(L.by_markers(F.col("id").cast("string")).alias("l"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1

@@ -7,6 +7,7 @@ any function from a text column to a language column can take its place.
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -31,13 +32,20 @@ MARKERS = {
 }
 
 
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of ``value``, which is computed once however often ``then`` names it. No Python function may stand in ``then``."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def by_markers(text: Column) -> Column:
-    """The language most of whose words stand in the text; null if none does."""
-    words = T.tokens(F.lower(text))
-    hits = lambda known: F.size(F.filter(words, lambda w: w.isin(known)))
-    counts = [F.struct(hits(m.split(" ")).alias("n"), F.lit(-i).alias("i"), F.lit(name).alias("name")) for i, (name, m) in enumerate(MARKERS.items())]
-    best = F.array_max(F.array(*counts))
-    return F.when(best["n"] > 0, best["name"])
+    """The language most of whose words stand in the text; null if none does. The text is split once, and languages count only what is in any list."""
+    lists = [m.split(" ") for m in MARKERS.values()]
+    words = F.filter(T.tokens(F.lower(text)), lambda w: w.isin(sorted(set(chain(*lists)))))
+    hits = lambda w, known: F.size(F.filter(w, lambda x: x.isin(known)))
+    # of several languages the largest number wins, and of equal ones the first place
+    counts = lambda w: F.array(*[F.struct(hits(w, known).alias("n"), F.lit(-i).alias("i")) for i, known in enumerate(lists)])
+    name = lambda best: F.when(best["n"] > 0, F.get(F.array(*map(F.lit, MARKERS)), -best["i"]))
+    return _let(words, lambda w: _let(F.array_max(counts(w)), name))
 
 
 def label(text: Column, detector: Callable[[Column], Column] = by_markers, min_chars: int = MIN_CHARS) -> Column:
@@ -48,5 +56,6 @@ def label(text: Column, detector: Callable[[Column], Column] = by_markers, min_c
 
 def probably(language: str, *parts: Column, detector: Callable[[Column], Column] = by_markers, min_chars: int = MIN_CHARS) -> Column:
     """Whether the parts, stripped and joined, are in the language; texts too short to tell pass."""
-    joined = T.strip(F.concat_ws(" ", *[F.when(T.strip(p) != "", T.strip(p)) for p in parts]))
+    stripped = F.filter(F.array(*[T.strip(p) for p in parts]), lambda p: p != "")  # so joined, nothing is left to strip
+    joined = F.concat_ws(" ", stripped)
     return (F.char_length(joined) < min_chars) | F.coalesce(detector(joined) == language, F.lit(False))
