@@ -408,3 +408,24 @@ def test_entities_that_a_semicolon_closes(spark):
 def test_a_language_is_found_in_one_split(spark):
     plan = spark.range(1).select(L.by_markers(F.col("id").cast("string")).alias("l"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all") == 1
+
+
+def test_blocks_hold_little_and_links_few(spark):
+    rng = np.random.default_rng(8)
+    rows = rng.normal(size=(300, 6)).astype(np.float32)
+    rows[200:] = rows[:100] * 2
+    df = spark.createDataFrame([(i, v.tolist(), i % 3) for i, v in enumerate(rows)], "i long, v array<float>, k int").repartition(3)
+    for kind in (None, "k"):
+        pairs = V.block_pairs(df, "i", "v", 0.6, kind, block=70)
+        links = V.block_links(df, "i", "v", 0.6, kind, block=70)
+        one, two = df.select(F.col("i").alias("left"), F.col("v").alias("a"), F.col("k").alias("ka")), df.select(F.col("i").alias("right"), F.col("v").alias("b"), F.col("k").alias("kb"))
+        alike = one.join(two, F.col("left") < F.col("right")).filter("true" if kind is None else "ka = kb").select("left", "right", S.cosine(F.col("a"), F.col("b")).alias("s")).filter("s >= 0.6")
+        want = sorted(map(tuple, alike.collect()))
+        assert sorted(map(tuple, pairs.collect())) == want
+        found = {tuple(r) for r in links.collect()}
+        assert len(found) < len(want) and found <= {r[:2] for r in want}
+        assert sorted(V.components(links).collect()) == sorted(V.components(pairs).collect())
+
+
+def test_matches_need_no_join(spark):
+    assert "Join" not in topics._pairs(spark, SF)._jdf.queryExecution().executedPlan().toString()

@@ -15,6 +15,8 @@ from threadloom.sources.shared import materialise, remove
 
 #: Rows that are broadcast at once to be compared with all, and their bytes as doubles; more go out in blocks of about so many.
 EXHAUSTIVE, BLOCK_BYTES = 50_000, 128 << 20
+#: Rows on the left and on the right that are multiplied at once, and pairs whose cosines are computed at once.
+TILE, TOGETHER = (512, 4096), 65_536
 #: Bits of a hash code, the recall that the tables are counted for, and the tables beyond which exact comparison takes over.
 BITS, RECALL, MOST_TABLES = 12, 0.95, 64
 
@@ -36,7 +38,7 @@ def exact_pairs(df: DataFrame, key: str, vector: str, threshold: float, kind: st
     rows = df.select(*names)
     if rows.limit(ceiling + 1).count() > ceiling or (rows.agg(F.sum(F.size(vector))).first()[0] or 0) * 8 > BLOCK_BYTES:
         raise ValueError(f"all pairs are compared at once up to {ceiling} rows and {BLOCK_BYTES} bytes; use block_pairs beyond")
-    return similar(_matches(rows, rows, key, vector, threshold, kind)[0], df, key, vector)
+    return _matches(rows, rows, key, vector, threshold, kind)[0]
 
 
 def block_pairs(df: DataFrame, key: str, vector: str, threshold: float, kind: str | None = None, block: int = EXHAUSTIVE) -> DataFrame:
@@ -46,6 +48,15 @@ def block_pairs(df: DataFrame, key: str, vector: str, threshold: float, kind: st
     block in turn goes to every executor and meets all rows, and its matches are
     written to the shared folder before the next, so that one block is held at a time.
     """
+    return _blocks(df, key, vector, threshold, kind, block, False)
+
+
+def block_links(df: DataFrame, key: str, vector: str, threshold: float, kind: str | None = None, block: int = EXHAUSTIVE) -> DataFrame:
+    """Of the pairs of ``block_pairs`` (left, right) as many as leave the components as they are: a task keeps those of a block that join what it hadn't joined yet, fewer than the rows of both."""
+    return _blocks(df, key, vector, threshold, kind, block, True)
+
+
+def _blocks(df: DataFrame, key: str, vector: str, threshold: float, kind: str | None, block: int, links: bool) -> DataFrame:
     narrow = df.select(key, vector, *([kind] if kind else []))
     n, dims = narrow.agg(F.count("*"), F.max(F.size(vector))).first()
     block = max(1, min(block, BLOCK_BYTES // (8 * max(dims or 1, 1))))
@@ -54,34 +65,116 @@ def block_pairs(df: DataFrame, key: str, vector: str, threshold: float, kind: st
     out = None
     for i in range(blocks):
         part = rows.filter(F.pmod(F.xxhash64(key), F.lit(blocks)) == i)
-        found, shared = _matches(rows, part, key, vector, threshold, kind)
+        found, shared = _matches(rows, part, key, vector, threshold, kind, links)
         found, _ = materialise(found, "pairs")
         shared.destroy()
         out = found if out is None else out.union(found)
     remove(df.sparkSession, path)
-    return similar(out, df, key, vector)
+    return out
+
+
+def _plain(column: pa.Array) -> np.ndarray:
+    """Arrays of one length as a matrix, in their own type."""
+    whole = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return whole.flatten().to_numpy(zero_copy_only=False).reshape(len(whole), -1)
+
+
+def _norms(m: np.ndarray) -> np.ndarray:
+    """Lengths of the rows, squares summed in index order."""
+    total = np.zeros(len(m))
+    for x in m.T:
+        total += x.astype(float) ** 2
+    return np.sqrt(total)
+
+
+def _cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Cosine of each row of ``a`` with the same row of ``b``, summed in index order as ``scalars.cosine`` does."""
+    total = np.zeros(len(a))
+    for x, y in zip(a.T, b.T):
+        total += x.astype(float) * y.astype(float)
+    return total / (_norms(a) * _norms(b))
 
 
-def _matches(rows: DataFrame, part: DataFrame, key: str, vector: str, threshold: float, kind: str | None):
-    """Pairs (left, right) of ``rows`` with those of ``part``, which are gathered and broadcast; and the broadcast."""
+def _short(m: np.ndarray) -> np.ndarray:
+    """Rows at length one, in single precision."""
+    return (m / _norms(m)[:, None]).astype(np.float32)
+
+
+class Joined:
+    """Which of some vertices are joined so far."""
+
+    def __init__(self, n: int):
+        self.root = np.arange(n)
+
+    def new(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Places of the edges (a, b) that join what wasn't joined before, each in turn; and joins it."""
+        ra, rb = self.root[a], self.root[b]
+        at = np.flatnonzero(ra != rb)
+        if not len(at):
+            return at
+        at = at[np.unique(np.minimum(ra[at], rb[at]) * len(self.root) + np.maximum(ra[at], rb[at]), return_index=True)[1]]
+        above: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while (y := above.get(x, x)) != x:
+                above[x] = x = above.get(y, y)
+            return x
+
+        kept = []
+        for i, x, y in zip(at.tolist(), ra[at].tolist(), rb[at].tolist()):
+            if (x := top(x)) != (y := top(y)):
+                above[max(x, y)] = min(x, y)
+                kept.append(i)
+        named = np.arange(len(self.root))
+        changed = list(above)
+        named[changed] = [top(x) for x in changed]
+        self.root = named[self.root]
+        return np.array(kept, np.int64)
+
+
+def _matches(rows: DataFrame, part: DataFrame, key: str, vector: str, threshold: float, kind: str | None, links: bool = False):
+    """Pairs (left, right, similarity) of ``rows`` with those of ``part``, which are gathered and broadcast; with ``links`` (left, right), and only those that join; and the broadcast.
+
+    Tiles are multiplied in single precision; what comes within its error of the threshold is computed again in double precision, in index order.
+    Both sides are in the order of their keys, so that a tile whose left keys all are the larger ones is left out.
+    """
     whole = part.toArrow()
-    shared = rows.sparkSession.sparkContext.broadcast((whole.column(key).to_numpy(), matrix(whole.column(vector)) if len(whole) else None, np.array(whole.column(kind).to_pylist()) if kind else None))
+    order = np.argsort(whole.column(key).to_numpy(), kind="stable")
+    shared = rows.sparkSession.sparkContext.broadcast((whole.column(key).to_numpy()[order], _plain(whole.column(vector))[order] if len(whole) else None, np.array(whole.column(kind).to_pylist())[order] if kind else None))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, m, kinds = shared.value
         if m is None:
             return
+        short, least = _short(m), np.float32(threshold - (m.shape[1] + 8) * 2.0**-22)
         for b in batches:
-            for i in range(0, b.num_rows, 256):
-                part = b.slice(i, 256)
-                left = part.column(key).to_numpy()
-                found = (matrix(part.column(vector)) @ m.T >= threshold) & (left[:, None] < ids[None, :])
-                if kinds is not None:
-                    found &= np.array(part.column(kind).to_pylist())[:, None] == kinds[None, :]
-                r, c = np.nonzero(found)
-                yield pa.RecordBatch.from_arrays([pa.array(left[r]), pa.array(ids[c])], names=["left", "right"])
-
-    return rows.mapInArrow(run, "left long, right long"), shared
+            sort = np.argsort(b.column(key).to_numpy(), kind="stable")
+            left, own = b.column(key).to_numpy()[sort], _plain(b.column(vector))[sort] if b.num_rows else m[:0]
+            own_kinds = np.array(b.column(kind).to_pylist())[sort] if kind else None
+            near = _short(own)
+            joined = Joined(len(left) + len(ids)) if links else None
+            for i in range(0, len(left), TILE[0]):
+                for j in range(int(np.searchsorted(ids, left[i], "right")), len(ids), TILE[1]):
+                    close = (near[i : i + TILE[0]] @ short[j : j + TILE[1]].T) >= least
+                    r, c = np.divmod(np.flatnonzero(close), close.shape[1])
+                    r, c = r + i, c + j
+                    right = left[r] < ids[c] if own_kinds is None else (left[r] < ids[c]) & (own_kinds[r] == kinds[c])
+                    r, c = r[right], c[right]
+                    if links and len(r):  # what is joined already needs no exact cosine
+                        apart = joined.root[r] != joined.root[c + len(left)]
+                        r, c = r[apart], c[apart]
+                    for k in range(0, len(r), TOGETHER):
+                        x, y = r[k : k + TOGETHER], c[k : k + TOGETHER]
+                        alike = _cosines(own[x], m[y])
+                        good = alike >= threshold
+                        x, y, alike = x[good], y[good], alike[good]
+                        if links:
+                            kept = joined.new(x, y + len(left))
+                            yield pa.RecordBatch.from_arrays([pa.array(left[x[kept]]), pa.array(ids[y[kept]])], names=["left", "right"])
+                        else:
+                            yield pa.RecordBatch.from_arrays([pa.array(left[x]), pa.array(ids[y]), pa.array(alike)], names=["left", "right", "similarity"])
+
+    return rows.mapInArrow(run, "left long, right long" + ("" if links else ", similarity double")), shared
 
 
 def similar(pairs: DataFrame, df: DataFrame, key: str, vector: str) -> DataFrame:
