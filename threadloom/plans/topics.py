@@ -81,6 +81,10 @@ def _pairs(spark, d):
     return V.block_pairs(embeddings(spark, d), "vec_id", "embedding", NEAR, block=V.EXHAUSTIVE)
 
 
+def _roots(spark, d):
+    return V.components(V.block_links(embeddings(spark, d), "vec_id", "embedding", NEAR))
+
+
 @query(f'WITH {PAIRS} SELECT l AS "left", r AS "right", round(s, 6) AS similarity FROM pairs')
 def j08_near_duplicates(spark, d):
     return _pairs(spark, d).withColumn("similarity", F.round("similarity", 6))
@@ -92,17 +96,17 @@ GROUPED = "gr AS (SELECT vec_id, coalesce(root, vec_id) AS representative FROM e
 
 @query(f"WITH RECURSIVE {ROOTS} SELECT v, root FROM rt")
 def m02_components(spark, d):
-    return V.components(_pairs(spark, d))
+    return _roots(spark, d)
 
 
 @query(f"WITH RECURSIVE {ROOTS}, {GROUPED} SELECT vec_id, representative, count(*) OVER (PARTITION BY representative) - 1 AS semantic_duplicate_count FROM gr")
 def m03_groups(spark, d):
-    return V.grouped(embeddings(spark, d).select("vec_id"), "vec_id", V.components(_pairs(spark, d))).select("vec_id", "representative", "semantic_duplicate_count")
+    return V.grouped(embeddings(spark, d).select("vec_id"), "vec_id", _roots(spark, d)).select("vec_id", "representative", "semantic_duplicate_count")
 
 
 @query(f"WITH RECURSIVE {ROOTS}, {GROUPED} SELECT representative AS vec_id, 'corpus:' || sha256(representative::VARCHAR) AS corpus_id, count(*) - 1 AS semantic_duplicate_count FROM gr GROUP BY 1")
 def j04_final_corpus(spark, d):
-    groups = V.grouped(embeddings(spark, d).select("vec_id"), "vec_id", V.components(_pairs(spark, d)))
+    groups = V.grouped(embeddings(spark, d).select("vec_id"), "vec_id", _roots(spark, d))
     return V.corpus(groups, "vec_id").select("vec_id", "corpus_id", "semantic_duplicate_count")
 
 
@@ -113,7 +117,7 @@ SELECT 'damaged', (SELECT count(*) FROM embeddings) - count(*), count(*) - count
 def m05_group_violations(spark, d):
     """None in the groups as made; and those in a copy from which every eleventh row was taken and in which every thirteenth stands twice."""
     rows = embeddings(spark, d).select("vec_id")
-    groups, _ = materialise(V.grouped(rows, "vec_id", V.components(_pairs(spark, d))), "groups")
+    groups, _ = materialise(V.grouped(rows, "vec_id", _roots(spark, d)), "groups")
     lost = groups.filter("vec_id % 11 <> 3")
     damaged = lost.unionByName(lost.filter("vec_id % 13 = 5"))
     return V.invalid_groups(groups, rows, "vec_id").withColumn("input", F.lit("as grouped")).unionByName(V.invalid_groups(damaged, rows, "vec_id").withColumn("input", F.lit("damaged")))
